@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, not only speed.
@@ -15,7 +17,12 @@ RESULT_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that results depend on."""
+    """Apply the runtime settings that results depend on.
+
+    Python functions of this package travel to the workers by value, so the
+    workers need not have it installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["promptframe"])
     for key, value in RESULT_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
