@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from promptframe.operators.ordering import round_robin
 from promptframe.sources.steps import write_step
@@ -22,10 +21,11 @@ RESPONSE = (
     "struct<message:struct<content:string>,model:string,prompt_eval_count:long,eval_count:long,"
     "total_duration:long,load_duration:long,prompt_eval_duration:long,eval_duration:long>"
 )
-_RESULT = T.StructType.fromDDL(
+_RESULT = (
     "seq long, custom_id string, endpoint string, response string, "
     "error struct<code:string,message:string>, attempts int, duration_ms double"
 )
+_COLUMNS = ["seq", "custom_id", "endpoint", "response", "error", "attempts", "duration_ms"]
 
 
 def run_inference(
@@ -74,7 +74,7 @@ def run_inference(
             for row in batch.itertuples(index=False):
                 endpoint = endpoints[row.slot % len(endpoints)]
                 rows.append((row.seq, row.custom_id, endpoint, *call(row.payload, endpoint)))
-            yield pd.DataFrame(rows, columns=_RESULT.names)
+            yield pd.DataFrame(rows, columns=_COLUMNS)
 
     scored = dealt.mapInPandas(run, _RESULT)
     return scored.withColumn("response", F.from_json("response", RESPONSE))
