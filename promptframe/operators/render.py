@@ -8,6 +8,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promptframe.functions.text import json_quote
 from promptframe.operators.contract import sanitise_json_schema
@@ -114,7 +115,7 @@ def line_bytes(line: Column | str) -> Column:
     return F.octet_length(line).cast("bigint") + 1
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _sanitised(schemas: pd.Series) -> pd.Series:
     clean = lru_cache(maxsize=256)(lambda text: json.dumps(sanitise_json_schema(json.loads(text))))
     return schemas.map(clean, na_action="ignore")
