@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promptframe.functions.frames import compute_once
 from promptframe.functions.text import squeeze_whitespace, strip
 
 REJECT = "reject"
@@ -66,7 +67,7 @@ def mark_rejects(df: DataFrame, filters: Sequence[Filter]) -> DataFrame:
     for f in reversed(filters):
         hit = F.struct(F.lit(f.name).alias("filter"), f.reason.alias("reason"))
         verdict = F.when(f.rejects, hit).otherwise(verdict)
-    return df.withColumn(REJECT, verdict)
+    return compute_once(df, **{REJECT: verdict})
 
 
 def kept(marked: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def auto_reply_filter(headers: str = "headers") -> Filter:
 
 
 def trim_whitespace(body: str = "body") -> Transform:
-    return Transform("trim_whitespace", lambda df: df.withColumn(body, squeeze_whitespace(body)))
+    return Transform("trim_whitespace", lambda df: compute_once(df, **{body: squeeze_whitespace(body)}))
 
 
 def annotate_attachments(metadata: str = "metadata") -> Transform:

@@ -65,9 +65,10 @@ def prediction_table(rows: DataFrame, contract: Contract | None = None) -> DataF
 
 def confusion_wide(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """A ``Pred:`` column per label and a ``True:`` row per label."""
-    wide = dense_confusion(counts, labels).groupBy("ground_truth").pivot("predicted", list(labels)).agg(F.sum("n"))
-    named = [F.col(f"`{x}`").alias(f"Pred: {x}") for x in labels]
-    return wide.select(F.concat(F.lit("True: "), F.col("ground_truth")).alias("truth"), *named)
+    # Sums rather than a pivot: labels that differ only in case stay apart.
+    cells = [F.sum(F.when(F.col("predicted") == x, F.col("n"))).alias(f"Pred: {x}") for x in labels]
+    truth = F.concat(F.lit("True: "), F.col("ground_truth")).alias("truth")
+    return dense_confusion(counts, labels).groupBy(truth).agg(*cells)
 
 
 def evaluation_dict(result: Evaluation) -> dict:

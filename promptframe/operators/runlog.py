@@ -70,7 +70,7 @@ def state_age(changes: DataFrame, batch: str, status: str, at: str, tie: str, no
     """Per batch the current status, since when, and for how many seconds."""
     latest = F.max_by(F.struct(F.col(status).alias("status"), F.col(at).alias("since")), F.struct(at, tie))
     current = changes.groupBy(batch).agg(latest.alias("s")).select(batch, "s.*")
-    age = F.greatest(F.lit(0.0), now.cast("double") - F.col("since").cast("double"))
+    age = F.greatest(F.lit(0.0), now.cast("double") - F.col("since").cast("timestamp").cast("double"))
     return current.withColumn("state_elapsed_seconds", age)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptframe.functions.answers import as_string, member, parse_whole
+from promptframe.functions.frames import compute_once
 from promptframe.operators.contract import Contract
 
 _OUTPUT = "array<struct<type:string,content:array<struct<type:string,text:string>>>>"
@@ -22,7 +23,7 @@ def output_text(output: Column) -> Column:
 
 def parse_outputs(lines: DataFrame, line: str = "line") -> DataFrame:
     """Answer lines to ``custom_id, error, raw_text, malformed``."""
-    rows = lines.withColumn("_v", parse_whole(F.col(line)))
+    rows = compute_once(lines, _v=parse_whole(F.col(line)))
     v = F.col("_v")
     error = F.to_json(F.when(~F.is_variant_null(member(v, "error")), member(v, "error")))
     return rows.select(
@@ -67,9 +68,8 @@ def validate_outputs(outputs: DataFrame, contract: Contract | None = None, malfo
     malformed, or fail the job with ``malformed="fail"``. ``data`` is the
     parsed answer as given, not coerced.
     """
-    parsed = outputs.withColumn("data", parse_whole(F.col("raw_text")))
+    parsed = compute_once(outputs, data=parse_whole(F.col("raw_text")))
     data = F.col("data")
-    # Kinds of the answer are looked up only where it parsed.
     broken = contract.violations(data) if contract else F.array().cast("array<string>")
     fits = contract.accepts(data) if contract else F.lit(True)
     is_bad_line = F.col("malformed")

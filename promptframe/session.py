@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, **settings: str)
         SparkSession.builder.master(f"local[{cores}]")
         .appName("promptframe")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptframe.functions.answers import as_string, member, parse_whole
+from promptframe.functions.frames import compute_once
 from promptframe.functions.text import strip
 
 _PARTS = "array<struct<role:variant,content:array<variant>>>"
@@ -40,7 +41,7 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
     ``malformed`` marks lines that are no JSON. Content parts given as bare
     strings become ``input_text`` parts.
     """
-    rows = lines.withColumn("_v", parse_whole(F.col(line)))
+    rows = compute_once(lines, _v=parse_whole(F.col(line)))
     body = member(F.col("_v"), "body")
     text_format = member(member(body, "text"), "format")
 
