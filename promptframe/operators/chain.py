@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,18 +103,17 @@ def run_transforms(df: DataFrame, transforms: Sequence[Transform | RowTransform]
     return reduce(lambda d, s: _python_pass(d, s) if isinstance(s, list) else s.apply(d), steps, df)
 
 
-def _plain(value, kind: T.DataType):
-    """A value as an Arrow batch delivers it, as plain Python."""
-    if value is None or (isinstance(value, float) and not isinstance(kind, (T.FloatType, T.DoubleType))):
+def _with_maps(value, kind: T.DataType, as_map: Callable):
+    """The value with every map in it rebuilt by ``as_map``; Arrow gives and takes maps as pairs."""
+    if value is None:
         return None
     if isinstance(kind, T.MapType):
-        return dict(value)
+        pairs = value.items() if isinstance(value, dict) else value
+        return as_map((k, _with_maps(v, kind.valueType, as_map)) for k, v in pairs)
     if isinstance(kind, T.ArrayType):
-        return [_plain(v, kind.elementType) for v in value]
+        return [_with_maps(v, kind.elementType, as_map) for v in value]
     if isinstance(kind, T.StructType):
-        return {f.name: _plain(value[f.name], f.dataType) for f in kind}
-    if isinstance(kind, T.IntegralType):
-        return int(value)
+        return {f.name: _with_maps(value[f.name], f.dataType, as_map) for f in kind}
     return value
 
 
@@ -133,16 +133,13 @@ def _python_pass(df: DataFrame, steps: list[RowTransform]) -> DataFrame:
                 row = {**row, TRANSFORM_ERRORS: [*row[TRANSFORM_ERRORS], note]}
         return row
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                {f.name: _plain(v, f.dataType) for f, v in zip(schema, values)}
-                for values in batch.itertuples(index=False, name=None)
-            ]
-            # Object columns keep missing integers apart from NaN.
-            yield pd.DataFrame([change(r) for r in rows], columns=schema.names, dtype=object)
-
-    return df.mapInPandas(run, schema)
+            rows = (_with_maps(r, schema, dict) for r in batch.to_pylist())
+            changed = [_with_maps(change(r), schema, list) for r in rows]
+            yield pa.RecordBatch.from_pylist(changed, schema=batch.schema)
+
+    return df.mapInArrow(run, schema)
 
 
 # Filters and transforms of the two built-in recipes.

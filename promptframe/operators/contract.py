@@ -252,8 +252,8 @@ def _scalar_fits(f: Field, value: Column) -> Column:
     ok = (_is_number(value) | _is_text(value) | _is_boolean(value)) & number.isNotNull()
     if f.type == "integer":
         whole = F.when(
-            _is_text(value), strip(as_string(value)).rlike(r"^[+-]?\d+(_\d+)*(\.0*)?$")
-        ).otherwise(number == F.floor(number))
+            _is_text(value), strip(as_string(value)).rlike(r"^[+-]?\d+(_\d+)*(\.0+)?$")
+        ).otherwise(number % 1 == 0)
         ok = ok & whole
     if f.ge is not None:
         ok = ok & (number >= F.lit(float(f.ge)))

@@ -42,3 +42,8 @@ def read_evaluation(path: str) -> dict:
         total = row["precision"] + row["recall"]
         row["f1"] = 2 * row["precision"] * row["recall"] / total if total else 0.0
     return saved
+
+
+def append_rows(df: DataFrame, folder: str) -> None:
+    """Append summary or manifest rows of a batch to a parquet table."""
+    df.write.mode("append").parquet(folder)
