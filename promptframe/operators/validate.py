@@ -12,31 +12,39 @@ from promptframe.operators.contract import Contract
 _OUTPUT = "array<struct<type:string,content:array<struct<type:string,text:string>>>>"
 
 
-def output_text(output: Column) -> Column:
-    """First non-empty output text of the message items, else ``""`` if one is empty, else null."""
+def output_texts(output: Column) -> Column:
+    """The output texts of the message items, in order."""
     messages = F.filter(output, lambda i: i["type"] == "message")
     parts = F.flatten(F.transform(messages, lambda i: F.coalesce(i["content"], F.array())))
-    texts = F.transform(F.filter(parts, lambda p: p["type"] == "output_text"), lambda p: p["text"])
-    full = F.get(F.filter(texts, lambda t: t != ""), F.lit(0))
-    return F.coalesce(full, F.get(F.filter(texts, lambda t: t == ""), F.lit(0)))
+    wanted = F.filter(parts, lambda p: (p["type"] == "output_text") & p["text"].isNotNull())
+    return F.transform(wanted, lambda p: p["text"])
+
+
+def first_text(texts: Column) -> Column:
+    """The first text that is not empty, else ``""`` if there is one at all, else null."""
+    return F.coalesce(F.get(F.filter(texts, lambda t: t != ""), F.lit(0)), F.get(texts, F.lit(0)))
 
 
 def parse_outputs(lines: DataFrame, line: str = "line") -> DataFrame:
     """Answer lines to ``custom_id, error, raw_text, malformed``."""
     rows = compute_once(lines, _v=parse_whole(F.col(line)))
     v = F.col("_v")
-    error = F.to_json(F.when(~F.is_variant_null(member(v, "error")), member(v, "error")))
+    rows = compute_once(rows, _error=member(v, "error"), _texts=output_texts(_typed_output(v)))
     return rows.select(
         *lines.columns,
         F.coalesce(as_string(member(v, "custom_id")), F.lit("")).alias("custom_id"),
-        error.alias("error"),
-        output_text(_typed_output(v)).alias("raw_text"),
+        F.to_json(F.when(~F.is_variant_null("_error"), F.col("_error"))).alias("error"),
+        first_text(F.col("_texts")).alias("raw_text"),
         v.isNull().alias("malformed"),
     )
 
 
 def _typed_output(record: Column) -> Column:
-    """The output items of a record, with members of another type as null."""
+    """The output items of a record, with members of another type as null.
+
+    Records as they should be take one typed read; only the others are read
+    member by member.
+    """
     items = F.try_variant_get(record, "$.response.body.output", "array<variant>")
 
     def part(p: Column) -> Column:
@@ -46,16 +54,16 @@ def _typed_output(record: Column) -> Column:
         content = F.try_variant_get(i, "$.content", "array<variant>")
         return F.struct(as_string(member(i, "type")).alias("type"), F.transform(content, part).alias("content"))
 
-    return F.transform(items, item)
+    return F.coalesce(F.try_variant_get(record, "$.response.body.output", _OUTPUT), F.transform(items, item))
 
 
 def records_as_outputs(records: DataFrame) -> DataFrame:
     """Typed output records in the form of ``parse_outputs``, without a trip through text."""
-    output = F.col("response.body.output")
-    return records.select(
+    read = compute_once(records, _texts=output_texts(F.col("response.body.output")))
+    return read.select(
         "custom_id",
         F.to_json("error").alias("error"),
-        output_text(output).alias("raw_text"),
+        first_text(F.col("_texts")).alias("raw_text"),
         F.lit(False).alias("malformed"),
     )
 
