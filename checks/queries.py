@@ -17,6 +17,7 @@ from promptframe.functions.text import (
 from promptframe.operators import chain, evaluate, inference, ordering, render, reports, runlog, sharding, truth, validate
 from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT
 from promptframe.plans import job, recipes
+from promptframe.session import durable
 from promptframe.sources.documents import accepts_mail_name
 from promptframe.sources.emails import parse_emails
 from promptframe.sources.lines import parse_requests
@@ -399,8 +400,8 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labels_and_counts(spark: SparkSession, folder: str):
-    counts = _counts(spark, folder)
-    return [r.label for r in evaluate.label_set(counts).collect()], counts
+    counts = durable(_counts(spark, folder))
+    return evaluate.list_labels(counts), counts
 
 
 def confusion(spark: SparkSession, folder: str) -> DataFrame:

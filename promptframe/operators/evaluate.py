@@ -28,6 +28,12 @@ def label_set(counts: DataFrame) -> DataFrame:
     return counts.select(both).distinct().orderBy("label")
 
 
+def list_labels(counts: DataFrame, max_labels: int = 1000) -> list[str] | None:
+    """The labels in order, or None if there are more than ``max_labels``."""
+    found = [r.label for r in label_set(counts).take(max_labels + 1)]
+    return found if len(found) <= max_labels else None
+
+
 def dense_confusion(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """``ground_truth, predicted, n`` with a row for every pair of the given labels."""
     listed = F.array(*[F.lit(x) for x in labels]).cast("array<string>")
@@ -172,12 +178,11 @@ def evaluate(
     follow only for a named positive class and exactly two labels.
     """
     counts = durable(confusion_counts(rows))
-    labels = [r.label for r in label_set(counts).take(max_labels + 1)]
+    labels = list_labels(counts, max_labels)
     classes = per_class(counts)
     curve, area = None, None
-    if positive and len(labels) == 2:
+    if positive and labels and len(labels) == 2:
         steps = roc_steps(rows, positive, order)
         if steps.take(1):
             curve, area = roc_points(steps), auc(steps).head().auc
-    listed = labels if len(labels) <= max_labels else None
-    return Evaluation(rows, counts, classes, summary(classes, area), listed, curve, area)
+    return Evaluation(rows, counts, classes, summary(classes, area), labels, curve, area)

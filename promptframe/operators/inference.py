@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptframe.operators.ordering import round_robin
-from promptframe.sources.steps import write_step
+from promptframe.sources.steps import is_complete, write_step
 
 # Attempts per request and the pause after the first failed one.
 MAX_ATTEMPTS = 3
@@ -80,6 +80,25 @@ def run_inference(
     return scored.withColumn("response", F.from_json("response", RESPONSE))
 
 
+def score_in_waves(
+    chats: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, rows_per_wave: int, seq: str = "seq"
+) -> DataFrame:
+    """Score ``rows_per_wave`` requests at a time and return the table of all results.
+
+    Each wave is written before the next begins and is not scored again when
+    the job is run again, so a lost executor or driver costs one wave at most.
+    ``chats`` has to be a table: each wave reads its own stretch of ``seq``.
+    """
+    spark = chats.sparkSession
+    rows = chats.agg(F.coalesce(F.max(seq) + 1, F.lit(0))).head()[0]
+    parts = [f"{folder}/wave={w}" for w in range(max(1, -(-rows // rows_per_wave)))]
+    for wave, part in enumerate(parts):
+        if not is_complete(spark, part):
+            here = F.col(seq).between(wave * rows_per_wave, (wave + 1) * rows_per_wave - 1)
+            score(chats.where(here)).write.mode("overwrite").parquet(part)
+    return spark.read.parquet(*parts)
+
+
 def output_records(scored: DataFrame, provider: str = "chat", with_ids: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Chat responses to output records ``custom_id, error, response``.
 

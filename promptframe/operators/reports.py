@@ -17,6 +17,9 @@ from promptframe.operators.ordering import with_seq
 # Contract fields that the prediction columns already cover.
 COVERED_FIELDS = ["label", "classification", "confidence", "certainty"]
 
+# Room for a million keys per answer and eight trillion answers.
+_POSITION_BITS = 20
+
 
 def cell(value: Column) -> Column:
     """Export text of a variant: text cleaned, lists and objects as JSON, null empty."""
@@ -27,8 +30,11 @@ def extra_columns(valid: DataFrame, known: Sequence[str], seq: str) -> DataFrame
     """``key, seq, pos``: unknown answer keys with the place of their first appearance."""
     keys = valid.select(F.col(seq).alias("seq"), F.posexplode(F.json_object_keys("raw_text")).alias("pos", "key"))
     fresh = keys.where(~F.col("key").isin([*known])) if known else keys
-    first = fresh.groupBy("key").agg(F.min(F.struct("seq", "pos")).alias("first"))
-    return first.select("key", "first.seq", "first.pos")
+    # Row and place in one number: a minimum of numbers aggregates by hash, one of structs by sorting.
+    place = F.shiftleft(F.col("seq"), _POSITION_BITS).bitwiseOR(F.col("pos").cast("long"))
+    first = fresh.groupBy("key").agg(F.min(place).alias("first"))
+    seq = F.shiftright("first", _POSITION_BITS)
+    return first.select("key", seq.alias("seq"), (F.col("first") - F.shiftleft(seq, _POSITION_BITS)).alias("pos"))
 
 
 def resolve_columns(valid: DataFrame, contract: Contract | None = None, order: Sequence[str] = ("custom_id",)) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from promptframe.functions.answers import as_string, kind, member
 from promptframe.functions.numbers import to_double
 from promptframe.functions.text import strip
+from promptframe.session import durable
 
 # Rows of a prefix map up to which it is sent to every task.
 BROADCAST_PREFIXES = 100_000
@@ -43,8 +44,12 @@ def name_prefix(custom_id: Column | str) -> Column:
 
 
 def join_truth(rows: DataFrame, truth: DataFrame) -> DataFrame:
-    """Add ``by_id``: the truth label of the row's id. ``truth`` has one row per ``filename``."""
-    known = truth.select(F.col("filename").alias("custom_id"), F.col("label").alias("by_id"))
+    """Add ``by_id``: the truth label of the row's id. ``truth`` has one row per ``filename``.
+
+    The truth is cut off first, so that it enters the join by a plain shuffle:
+    only then can adaptive execution split a partition of rows that share an id.
+    """
+    known = durable(truth).select(F.col("filename").alias("custom_id"), F.col("label").alias("by_id"))
     return rows.join(known, "custom_id", "left")
 
 

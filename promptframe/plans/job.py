@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame
 from promptframe.operators.chain import drop_audit, kept, mark_rejects, run_transforms
 from promptframe.operators.contract import Contract
 from promptframe.operators.evaluate import Evaluation, evaluate
-from promptframe.operators.inference import output_records, run_inference
+from promptframe.operators.inference import output_records, run_inference, score_in_waves
 from promptframe.operators.ordering import with_seq
 from promptframe.operators.render import override_prompt, render_requests, to_chat
 from promptframe.operators.truth import predictions, resolve_truth
 from promptframe.operators.validate import quarantine, records_as_outputs, valid_rows, validate_outputs
 from promptframe.plans.recipes import Recipe
 from promptframe.sources.prompts import DEFAULT_PROMPT
-from promptframe.sources.steps import read_step, write_step
+from promptframe.sources.steps import is_complete, read_step, write_step
+
+
+# Requests scored and written at a time; a shard has as many by default.
+ROWS_PER_WAVE = 50_000
 
 
 @dataclass(frozen=True)
@@ -43,10 +47,15 @@ def requests_of(documents: DataFrame, recipe: Recipe, model: str, instructions:
     return render_requests(documents, recipe.reader.package(), model, instructions, block)
 
 
-def answers_of(requests: DataFrame, scorer: Callable, model: str, prompt: str | None = None, **options) -> DataFrame:
-    """Output records of requests, in request order by ``seq``."""
+def chats_of(requests: DataFrame, model: str, prompt: str | None = None) -> DataFrame:
+    """``seq, custom_id, payload``: numbered chat payloads of requests, with the prompt replaced if given."""
     numbered = with_seq(override_prompt(requests, prompt), ["custom_id"])
-    return output_records(run_inference(to_chat(numbered, model, keep=["seq"]), scorer, **options), keep=["seq"])
+    return to_chat(numbered, model, keep=["seq"])
+
+
+def answers_of(chats: DataFrame, scorer: Callable, **options) -> DataFrame:
+    """``seq`` and output record of each chat payload."""
+    return output_records(run_inference(chats, scorer, **options), keep=["seq"])
 
 
 def transformed_rows(valid: DataFrame, recipe: Recipe) -> DataFrame:
@@ -91,24 +100,30 @@ def run_job(
     truth: DataFrame | None = None,
     prefixes: DataFrame | None = None,
     positive: str | None = None,
+    prompt: str | None = None,
     resume: bool = False,
+    rows_per_wave: int = ROWS_PER_WAVE,
     **inference,
 ) -> JobResult:
-    """All steps on parsed documents; requests, records and checked answers are tables in ``folder``.
+    """All steps on parsed documents; each result is a table in ``folder``.
 
-    ``resume`` goes on from the tables a run before has completed.
+    ``resume`` goes on from the tables, and the waves of scored requests, that
+    an earlier run has completed; without it ``folder`` has to be new.
     """
     spark = documents.sparkSession
 
     def step(name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if resume and _complete(spark, f"{folder}/{name}"):
+        if resume and is_complete(spark, f"{folder}/{name}"):
             return read_step(spark, folder, name)
         return write_step(make(), folder, name)
 
     cleaned = clean_documents(documents, recipe)
     dropped = step("dropped", lambda: cleaned.dropped)
     requests = step("requests", lambda: requests_of(cleaned.documents, recipe, model, instructions))
-    records = step("records", lambda: answers_of(requests, scorer, model, **inference))
+    chats = step("chats", lambda: chats_of(requests, model, prompt))
+    if not resume and is_complete(spark, f"{folder}/records/wave=0"):
+        raise ValueError(f"{folder} has scored requests of another run; use resume or a new folder")
+    records = score_in_waves(chats, lambda c: answers_of(c, scorer, **inference), f"{folder}/records", rows_per_wave)
     checked = step("checked", lambda: validate_outputs(records_as_outputs(records), recipe.contract))
     valid = transformed_rows(valid_rows(checked), recipe)
     evaluation = None
@@ -117,7 +132,3 @@ def run_job(
         evaluation = evaluate(step("predictions", lambda: rows), positive)
     return JobResult(dropped, requests, records, valid, quarantine(checked), evaluation)
 
-
-def _complete(spark, folder: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)

@@ -23,6 +23,12 @@ def read_step(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}")
 
 
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder has been committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def read_validated_json(spark: SparkSession, path: str, contract_id: str = "filename") -> DataFrame:
     """Validated rows from JSON lines: ``custom_id, data, raw_text``."""
     lines = spark.read.text(path).select(F.col("value").alias("raw_text"), parse_whole("value").alias("data"))

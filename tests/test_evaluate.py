@@ -162,3 +162,31 @@ def test_prediction_table_and_files(spark, tmp_path):
     result = E.evaluate(pairs(spark, ("a", "a"), ("b", "a")))
     reports.write_evaluation_json(result, str(tmp_path / "e.json"))
     assert json.loads((tmp_path / "e.json").read_text())["accuracy"] == 0.5
+
+
+def test_rows_that_share_an_id_are_split_in_the_join(spark):
+    """A third of all rows has one id: the partition that holds it is split while the job runs."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        predicted = spark.range(0, 60_000, 1, 12).select(hot.alias("custom_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        known = predicted.select(F.col("custom_id").alias("filename"), F.lit("ham").alias("label"))
+        known = known.groupBy("filename").agg(F.max("label").alias("label"))
+        joined = truth.join_truth(predicted, known)
+        assert len(joined.where("by_id = 'ham'").collect()) == 60_000
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

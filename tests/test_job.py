@@ -39,7 +39,7 @@ def test_job_from_folder_to_evaluation(spark, folder):
     documents = recipe.reader.read(spark, str(folder / "in"))
     options = dict(
         folder=str(folder / "out"), model="m", prefixes=prefix_map(spark, {"spam": "spam", "ham": "ham"}),
-        positive="spam", endpoints=["e"],
+        positive="spam", endpoints=["e"], rows_per_wave=3,
     )
     result = job.run_job(documents, recipe, scorer, **options)
     assert [r.filename for r in result.dropped.collect()] == ["ham__3.eml"]
@@ -51,6 +51,8 @@ def test_job_from_folder_to_evaluation(spark, folder):
     def never(payload, endpoint):
         raise AssertionError("scored again")
 
+    with pytest.raises(ValueError, match="another run"):
+        job.run_job(documents, recipe, never, **options)
     again = job.run_job(documents, recipe, never, resume=True, **options)
     assert again.valid.count() == 4
 
