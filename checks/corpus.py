@@ -31,98 +31,82 @@ def by_rest(divisor: int, choices: dict[int, object], otherwise: object = None)
     return out
 
 
-def padded(col: Column, width: int) -> Column:
-    return F.lpad(col.cast("string"), width, "0")
+# One text per column: building them from Column objects takes longer than running them.
+_CUSTOM_ID = """concat(source, '__', lpad(cast(doc_id AS string), 8, '0'), CASE doc_id % 6 WHEN 0 THEN '.eml'
+  WHEN 1 THEN '.txt' WHEN 2 THEN '.MSG' WHEN 3 THEN '' WHEN 4 THEN '.4d456dd9' ELSE '.Csv' END)"""
+_HEADERS = """map_filter(map(
+  'From', concat(source, '@example.org'),
+  'To', CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'team@example.org' END,
+  'Subject', concat(CASE WHEN doc_id % 10 = 0 THEN 'Automatic Reply: ' ELSE '' END, replace(substr(text, 1, 40), '\n', ' ')),
+  'Date', CASE WHEN doc_id % 3 = 0 THEN concat('2024-01-', lpad(cast(doc_id % 28 + 1 AS string), 2, '0')) END,
+  'Reply-To', CASE WHEN doc_id % 5 = 0 THEN 'noreply@example.org' END), (k, v) -> v IS NOT NULL)"""
+_BODY = r"""CASE WHEN doc_id % 7 = 0
+  THEN concat('\n\n\n\n  ', text, ' \t \n\n\n\n\n tail\t\tend \n') ELSE text END"""
+_METADATA = """named_struct('attachment_names', CASE doc_id % 3
+  WHEN 0 THEN array(concat('a_', doc_id, '.pdf'), 'scan.png') WHEN 1 THEN cast(array() AS array<string>) END)"""
+_LABEL = "CASE WHEN n_chars % 3 = 0 THEN 'spam' ELSE 'ham' END"
+_SCORE = "concat('0.', lpad(cast(n_chars % 97 AS string), 2, '0'))"
+
+
+def _answer_text(label: str, confidence: str, tail: str = "") -> str:
+    return f"""concat('{{"classification":', {label}, ',"confidence":', {confidence}, ',"reason":"r ', doc_id, '"{tail}}}')"""
+
+
+_QUOTED_LABEL = f"""concat('"', {_LABEL}, '"')"""
+_GOOD = _answer_text(_QUOTED_LABEL, _SCORE)
+_ANSWER = rf"""CASE doc_id % 12
+  WHEN 1 THEN {_answer_text(_QUOTED_LABEL, f"""concat('"', {_SCORE}, '"')""")}
+  WHEN 2 THEN {_answer_text(_QUOTED_LABEL, _SCORE, ',"mood":"x"')}
+  WHEN 3 THEN {_answer_text(_QUOTED_LABEL, "'1.5'")}
+  WHEN 4 THEN concat({_GOOD}, '\n```')
+  WHEN 5 THEN ''
+  WHEN 7 THEN {_answer_text("'null'", _SCORE)}
+  WHEN 8 THEN concat('{{"classification":', {_QUOTED_LABEL}, ',"confidence":', {_SCORE}, '}}')
+  WHEN 9 THEN {_answer_text(_QUOTED_LABEL, "'true'")}
+  WHEN 10 THEN {_answer_text(f"""concat('" ', initcap({_LABEL}), ' "')""", _SCORE)}
+  ELSE {_GOOD} END"""
+_PART = "named_struct('type', 'output_text', 'text', answer)"
+_EMPTY = "named_struct('type', 'output_text', 'text', '')"
+_OTHER = "named_struct('type', 'refusal', 'text', 'no')"
+_RECORD = f"""named_struct(
+  'custom_id', custom_id,
+  'error', CASE WHEN doc_id % 12 = 6 THEN named_struct('code', 'Timeout', 'message', 'late') END,
+  'response', CASE WHEN doc_id % 12 <> 6 THEN named_struct('status_code', 200, 'body', named_struct('output', array(
+    named_struct('type', 'reasoning', 'content', array({_OTHER})),
+    named_struct('type', 'message', 'content', CASE doc_id % 4 WHEN 1 THEN array({_EMPTY}, {_PART})
+      WHEN 2 THEN array({_OTHER}, {_PART}) ELSE array({_PART}) END)))) END)"""
 
 
 def custom_id() -> Column:
-    suffix = by_rest(6, {0: ".eml", 1: ".txt", 2: ".MSG", 3: "", 4: ".4d456dd9"}, ".Csv")
-    return F.concat(F.col("source"), F.lit("__"), padded(F.col("doc_id"), 8), suffix)
+    return F.expr(_CUSTOM_ID)
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, n_chars, source, custom_id, headers, body, metadata``."""
-    text = F.col("text")
-    start = F.replace(F.substring(text, 1, 40), F.lit("\n"), F.lit(" "))
-    headers = {
-        "From": F.concat("source", F.lit("@example.org")),
-        "To": by_rest(4, {0: ""}, "team@example.org"),
-        "Subject": F.concat(by_rest(10, {0: "Automatic Reply: "}, ""), start),
-        "Date": by_rest(3, {0: F.concat(F.lit("2024-01-"), padded(F.col("doc_id") % 28 + 1, 2))}),
-        "Reply-To": by_rest(5, {0: "noreply@example.org"}),
-    }
-    pairs = [x for name, value in headers.items() for x in (F.lit(name), value)]
-    messy = F.concat(F.lit("\n\n\n\n  "), text, F.lit(" \t \n\n\n\n\n tail\t\tend \n"))
-    file = F.concat(F.lit("a_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
-    names = by_rest(3, {0: F.array(file, F.lit("scan.png")), 1: F.array().cast("array<string>")})
-    return table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").selectExpr(
         "doc_id",
         "n_chars",
         "source",
-        custom_id().alias("custom_id"),
-        F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull()).alias("headers"),
-        by_rest(7, {0: messy}, text).alias("body"),
-        F.struct(names.alias("attachment_names")).alias("metadata"),
+        f"{_CUSTOM_ID} AS custom_id",
+        f"{_HEADERS} AS headers",
+        f"{_BODY} AS body",
+        f"{_METADATA} AS metadata",
     )
 
 
-def label() -> Column:
-    return F.when(F.col("n_chars") % 3 == 0, "spam").otherwise("ham")
-
-
 def score_text() -> Column:
-    return F.concat(F.lit("0."), padded(F.col("n_chars") % 97, 2))
+    return F.expr(_SCORE)
 
 
 def answer() -> Column:
     """Answer text by rule; rests 0, 1, 9 and 11 of 12 meet the mail contract."""
-    doc = F.col("doc_id").cast("string")
-
-    def object_text(label_json: Column, confidence: Column, tail: str = "") -> Column:
-        return F.concat(
-            F.lit('{"classification":'), label_json, F.lit(',"confidence":'), confidence,
-            F.lit(',"reason":"r '), doc, F.lit(f'"{tail}}}'),
-        )
-
-    def quoted(c: Column) -> Column:
-        return F.concat(F.lit('"'), c, F.lit('"'))
-
-    name, score = quoted(label()), score_text()
-    no_reason = F.concat(F.lit('{"classification":'), name, F.lit(',"confidence":'), score, F.lit("}"))
-    return by_rest(
-        12,
-        {
-            1: object_text(name, quoted(score)),
-            2: object_text(name, score, ',"mood":"x"'),
-            3: object_text(name, F.lit("1.5")),
-            4: F.concat(object_text(name, score), F.lit("\n```")),
-            5: "",
-            7: object_text(F.lit("null"), score),
-            8: no_reason,
-            9: object_text(name, F.lit("true")),
-            10: object_text(quoted(F.concat(F.lit(" "), F.initcap(label()), F.lit(" "))), score),
-        },
-        object_text(name, score),
-    )
+    return F.expr(_ANSWER)
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """Answer lines: ``doc_id, line``. Rest 6 of 12 is an error record; some texts follow an empty one."""
-    docs = corpus(spark, folder).drop("body", "headers", "metadata")
-    part = F.struct(F.lit("output_text").alias("type"), F.col("answer").alias("text"))
-    empty = F.struct(F.lit("output_text").alias("type"), F.lit("").alias("text"))
-    other = F.struct(F.lit("refusal").alias("type"), F.lit("no").alias("text"))
-    content = by_rest(4, {1: F.array(empty, part), 2: F.array(other, part)}, F.array(part))
-    reasoning = F.struct(F.lit("reasoning").alias("type"), F.array(other).alias("content"))
-    message = F.struct(F.lit("message").alias("type"), content.alias("content"))
-    body = F.struct(F.array(reasoning, message).alias("output"))
-    is_error = F.col("doc_id") % 12 == 6
-    error = F.when(is_error, F.struct(F.lit("Timeout").alias("code"), F.lit("late").alias("message")))
-    response = F.when(~is_error, F.struct(F.lit(200).alias("status_code"), body.alias("body")))
-    line = F.to_json(
-        F.struct("custom_id", error.alias("error"), response.alias("response")), {"ignoreNullFields": "false"}
-    )
-    return docs.withColumn("answer", answer()).select("doc_id", line.alias("line"))
+    docs = table(spark, folder, "documents").selectExpr("doc_id", f"{_CUSTOM_ID} AS custom_id", f"{_ANSWER} AS answer")
+    return docs.selectExpr("doc_id", f"to_json({_RECORD}, map('ignoreNullFields', 'false')) AS line")
 
 
 def truth_rows(spark: SparkSession, folder: str) -> DataFrame:
