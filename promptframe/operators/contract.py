@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptframe.functions.answers import as_string, keys_of, kind, member
+from promptframe.functions.frames import compute_once
 from promptframe.functions.numbers import to_double
 from promptframe.functions.text import strip
 
@@ -104,13 +105,28 @@ class Contract:
 
     def violations(self, value: Column) -> Column:
         """Array of messages, empty where the variant meets the contract."""
-        found = _object_violations(self, value, "")
+        found = _object_violations(self, value, [_Member(f, member(value, f.name)) for f in self.fields])
         return F.filter(F.array(*found), lambda m: m.isNotNull())
 
     def accepts(self, value: Column) -> Column:
         """True where the variant meets the contract."""
         return _fits_object(self, value)
 
+    def check(self, df: DataFrame, value: str, fits: str, messages: str) -> DataFrame:
+        """Add ``accepts`` and ``violations`` of a variant column.
+
+        Members and their kinds are worked out once per row and checked from
+        there, which keeps the generated code small.
+        """
+        members = {f"_m{i}": member(F.col(value), f.name) for i, f in enumerate(self.fields)}
+        kinds = {f"_k{i}": kind(F.col(f"_m{i}")) for i in range(len(self.fields))}
+        ready = compute_once(compute_once(df, **members), **kinds) if members else df
+        found = [_Member(f, F.col(f"_m{i}"), F.col(f"_k{i}")) for i, f in enumerate(self.fields)]
+        broken = F.filter(F.array(*_object_violations(self, F.col(value), found)), lambda m: m.isNotNull())
+        return ready.select(
+            *df.columns, _fits_object(self, F.col(value), found).alias(fits), broken.alias(messages)
+        )
+
 
 # JSON schema
 
@@ -216,29 +232,12 @@ def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract
 # Checks on variants. A test is true, or false where the value does not fit.
 
 
-def _is_number(value: Column) -> Column:
-    return kind(value).startswith("BIGINT") | kind(value).startswith("D")  # DECIMAL or DOUBLE
-
-
-def _is_text(value: Column) -> Column:
-    return kind(value) == "STRING"
-
-
-def _is_boolean(value: Column) -> Column:
-    return kind(value) == "BOOLEAN"
-
-
-def _number(value: Column) -> Column:
-    """Lax double: numbers, booleans and number texts."""
-    return F.when(_is_text(value), to_double(strip(as_string(value)))).otherwise(
-        F.try_variant_get(value, "$", "double")
-    )
-
-
-def _scalar_fits(f: Field, value: Column) -> Column:
+def _scalar_fits(f: Field, value: Column, kind_of: Column) -> Column:
+    is_text, is_boolean = kind_of == "STRING", kind_of == "BOOLEAN"
+    is_number = kind_of.startswith("BIGINT") | kind_of.startswith("D")  # DECIMAL or DOUBLE
     if f.type == "string":
         text = as_string(value)
-        ok = _is_text(value)
+        ok = is_text
         if f.enum:
             ok = ok & text.isin(list(f.enum))
         if f.min_length is not None:
@@ -247,12 +246,14 @@ def _scalar_fits(f: Field, value: Column) -> Column:
     if f.type == "boolean":
         text_ok = F.lower(as_string(value)).isin(BOOLEAN_TEXTS)
         number_ok = F.try_variant_get(value, "$", "double").isin([0.0, 1.0])
-        return _is_boolean(value) | (_is_text(value) & text_ok) | (_is_number(value) & number_ok)
-    number = _number(value)
-    ok = (_is_number(value) | _is_text(value) | _is_boolean(value)) & number.isNotNull()
+        return is_boolean | (is_text & text_ok) | (is_number & number_ok)
+    # Lax number: numbers, booleans and number texts.
+    as_number = F.try_variant_get(value, "$", "double")
+    number = F.when(is_text, to_double(strip(as_string(value)))).otherwise(as_number)
+    ok = (is_number | is_text | is_boolean) & number.isNotNull()
     if f.type == "integer":
         whole = F.when(
-            _is_text(value), strip(as_string(value)).rlike(r"^[+-]?\d+(_\d+)*(\.0+)?$")
+            is_text, strip(as_string(value)).rlike(r"^[+-]?\d+(_\d+)*(\.0+)?$")
         ).otherwise(number % 1 == 0)
         ok = ok & whole
     if f.ge is not None:
@@ -265,23 +266,24 @@ def _scalar_fits(f: Field, value: Column) -> Column:
     return ok
 
 
-def _fits(f: Field, value: Column) -> Column:
+def _fits(f: Field, value: Column, kind_of: Column | None = None) -> Column:
     """Whether a present value fits the field; never null."""
+    kind_of = kind(value) if kind_of is None else kind_of
     if f.type == "any":
         ok = F.lit(True)
     elif f.type == "array":
         elements = F.try_variant_get(value, "$", "array<variant>")
-        ok = kind(value).startswith("ARRAY")
+        ok = kind_of.startswith("ARRAY")
         if f.items is not None:
             ok = ok & F.forall(elements, lambda e: _fits(f.items, e))
         if f.min_length is not None:
             ok = ok & (F.size(elements) >= f.min_length)
     elif f.type == "object":
-        ok = _fits_object(f.members, value) if f.members else kind(value).startswith("OBJECT")
+        ok = _fits_object(f.members, value) if f.members else kind_of.startswith("OBJECT")
     else:
-        ok = _scalar_fits(f, value)
+        ok = _scalar_fits(f, value, kind_of)
     null_ok = F.lit(f.nullable or f.type == "any")
-    return F.coalesce(F.when(F.is_variant_null(value), null_ok).otherwise(ok), F.lit(False))
+    return F.coalesce(F.when(kind_of == "VOID", null_ok).otherwise(ok), F.lit(False))
 
 
 def _unknown_keys(contract: Contract, value: Column) -> Column:
@@ -289,13 +291,22 @@ def _unknown_keys(contract: Contract, value: Column) -> Column:
     return F.array_except(keys_of(value), known)
 
 
-def _fits_object(contract: Contract, value: Column) -> Column:
+@dataclass(frozen=True)
+class _Member:
+    field: Field
+    value: Column
+    kind_of: Column | None = None
+
+
+def _fits_object(contract: Contract, value: Column, members: list[_Member] | None = None) -> Column:
+    if members is None:
+        members = [_Member(f, member(value, f.name)) for f in contract.fields]
     ok = kind(value).startswith("OBJECT")
+    for m in members:
+        present = _fits(m.field, m.value, m.kind_of)
+        ok = ok & F.when(m.value.isNull(), F.lit(not m.field.required)).otherwise(present)
     if contract.forbid_extra:
         ok = ok & (F.size(_unknown_keys(contract, value)) == 0)
-    for f in contract.fields:
-        inner = member(value, f.name)
-        ok = ok & F.when(inner.isNull(), F.lit(not f.required)).otherwise(_fits(f, inner))
     return F.coalesce(ok, F.lit(False))
 
 
@@ -306,20 +317,19 @@ def _expectation(f: Field) -> str:
     return " ".join([f.type, *limits])
 
 
-def _object_violations(contract: Contract, value: Column, path: str) -> list[Column]:
-    """Messages of one object level; null where the rule holds."""
+def _object_violations(contract: Contract, value: Column, members: list[_Member]) -> list[Column]:
+    """Messages on an answer object and its members; null where the rule holds."""
     is_object = kind(value).startswith("OBJECT")
-    found = [F.when(~is_object, F.lit(f"{path or 'answer'}: not an object"))]
+    found = [F.when(~is_object, F.lit("answer: not an object"))]
     if contract.forbid_extra:
         extra = _unknown_keys(contract, value)
-        message = F.concat(F.lit(f"{path}unknown keys: "), F.array_join(extra, ", "))
+        message = F.concat(F.lit("unknown keys: "), F.array_join(extra, ", "))
         found.append(F.when(is_object & (F.size(extra) > 0), message))
-    for f in contract.fields:
-        inner = member(value, f.name)
-        if f.required:
-            found.append(F.when(is_object & inner.isNull(), F.lit(f"{path}{f.name}: missing")))
-        bad = is_object & inner.isNotNull() & ~_fits(f, inner)
-        found.append(F.when(bad, F.lit(f"{path}{f.name}: expected {_expectation(f)}")))
+    for m in members:
+        missing = F.lit(f"{m.field.name}: missing" if m.field.required else None).cast("string")
+        wrong = F.lit(f"{m.field.name}: expected {_expectation(m.field)}")
+        bad = F.when(m.value.isNull(), missing).when(~_fits(m.field, m.value, m.kind_of), wrong)
+        found.append(F.when(is_object, bad))
     return found
 
 

@@ -78,8 +78,11 @@ def validate_outputs(outputs: DataFrame, contract: Contract | None = None, malfo
     """
     parsed = compute_once(outputs, data=parse_whole(F.col("raw_text")))
     data = F.col("data")
-    broken = contract.violations(data) if contract else F.array().cast("array<string>")
-    fits = contract.accepts(data) if contract else F.lit(True)
+    if contract:
+        parsed = contract.check(parsed, "data", "_fits", "_broken")
+    else:
+        parsed = parsed.withColumns({"_fits": F.lit(True), "_broken": F.array().cast("array<string>")})
+    fits, broken = F.col("_fits"), F.col("_broken")
     is_bad_line = F.col("malformed")
     if malformed == "fail":
         is_bad_line = F.when(is_bad_line, F.raise_error(F.lit("answer line is no JSON")).cast("boolean")).otherwise(False)
