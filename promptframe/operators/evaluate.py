@@ -133,13 +133,13 @@ def roc_steps(
 
 def roc_points(steps: DataFrame) -> DataFrame:
     """``point, fpr, tpr, threshold``: the origin, then a point per step; empty if there is no step."""
-    points = steps.select(
-        (F.col("tp") + F.col("fp")).alias("point"), "fpr", "tpr", round_exact(F.col("confidence"), 6).alias("threshold")
-    )
+    number = (F.col("tp") + F.col("fp")).alias("point")
+    own = F.struct(number, "fpr", "tpr", round_exact(F.col("confidence"), 6).alias("threshold"))
     zero, one = F.lit(0.0), F.lit(1.0)
-    start = points.groupBy().agg(F.count("*").alias("n")).where("n > 0")
-    start = start.select(F.lit(0).cast("long").alias("point"), zero.alias("fpr"), zero.alias("tpr"), one.alias("threshold"))
-    return start.unionByName(points)
+    start = F.struct(F.lit(0).cast("long").alias("point"), zero.alias("fpr"), zero.alias("tpr"), one.alias("threshold"))
+    # The first step brings the origin along, so the steps are worked out once.
+    both = F.when(F.col("tp") + F.col("fp") == 1, F.array(start, own)).otherwise(F.array(own))
+    return steps.select(F.inline(both))
 
 
 def auc(steps: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def evaluate(
     classes = per_class(counts)
     curve, area = None, None
     if positive and labels and len(labels) == 2:
-        steps = roc_steps(rows, positive, order)
+        steps = durable(roc_steps(rows, positive, order))
         if steps.take(1):
             curve, area = roc_points(steps), auc(steps).head().auc
     return Evaluation(rows, counts, classes, summary(classes, area), labels, curve, area)
