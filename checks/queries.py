@@ -447,7 +447,7 @@ def auc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def result_columns(spark: SparkSession, folder: str) -> DataFrame:
-    valid = validate.valid_rows(_checked(spark, folder, None)).select("custom_id", "raw_text")
+    valid = durable(validate.valid_rows(_checked(spark, folder, None)).select("custom_id", "raw_text"))
     numbered = ordering.with_seq(valid, ["custom_id"])
     return reports.extra_columns(numbered, ["filename", "classification"], "seq")
 

@@ -105,6 +105,8 @@ def roc_steps(
     scored = rows.where(F.col("confidence").isNotNull()).select(
         "confidence", is_positive.alias("_p"), (1 - is_positive).alias("_q"), *[c.alias(n) for n, c in names.items()]
     )
+    # These few columns are read several times; what they come from is read once.
+    scored = durable(scored)
     totals = scored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_p", "_q")]).head()
     running = running_sums(
         scored.where(F.lit(totals["_p"] > 0 and totals["_q"] > 0)),

@@ -13,6 +13,7 @@ from promptframe.functions.text import clean_xml
 from promptframe.operators.contract import Contract
 from promptframe.operators.evaluate import Evaluation, dense_confusion
 from promptframe.operators.ordering import with_seq
+from promptframe.session import durable
 
 # Contract fields that the prediction columns already cover.
 COVERED_FIELDS = ["label", "classification", "confidence", "certainty"]
@@ -45,7 +46,8 @@ def resolve_columns(valid: DataFrame, contract: Contract | None = None, order: S
     known = list(dict.fromkeys(["filename", *(contract.names if contract else [])]))
     if contract and contract.forbid_extra:
         return known
-    numbered = with_seq(valid.select(*order, "raw_text"), list(order), "_seq")
+    # Numbering reads its input several times, so the checks behind it are cut off.
+    numbered = with_seq(durable(valid.select(*order, "raw_text")), list(order), "_seq")
     found = extra_columns(numbered, known, "_seq").orderBy("seq", "pos").collect()
     return known + [r.key for r in found]
 
