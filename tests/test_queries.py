@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from checks.compare import database, difference
+from checks.queries import QUERIES
+from checks.sql import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +15,7 @@ def connection():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     assert difference(spark, connection, FOLDER, name) is None
 
@@ -23,4 +25,4 @@ def test_entry(spark):
 
 
 def test_every_query_but_one_has_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"html_tree"}
+    assert set(QUERIES) - set(ORACLES) == {"html_tree"}
