@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import line_dedup
+from promptframe.llm import line_dedup, mixing
 from promptframe.scratch import Scratch
 
 
@@ -13,6 +13,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op3")
+    out = mixing.mix_sources(scratch, table(spark, folder, "documents"), whole=False)
+    return out.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op10")
     out = line_dedup.dedup_lines(scratch, table(spark, folder, "documents").select("doc_id", "text"))
@@ -21,5 +27,6 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_source_mix": op3_source_mix,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -24,6 +24,42 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP3 = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         ('0x' || substr(md5(concat(coalesce(doc_id::VARCHAR, ''), '|', concat_ws('|', source, text))), 1, 15))::BIGINT AS hash
+  FROM documents
+), sums AS (
+  SELECT source, sum(size)::HUGEINT AS source_size FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::HUGEINT AS weight FROM sums
+), running AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+         coalesce(sum(3 * source_size) OVER before, 0) AS caps_before, coalesce(sum(weight) OVER before, 0) AS weight_before
+  FROM ranked WINDOW before AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), capped AS (
+  SELECT *, 3 * source_size * (weights - weight_before) < weight * (total - caps_before) AS is_capped FROM running
+), level AS (
+  SELECT any_value(total) - coalesce(sum(3 * source_size) FILTER (is_capped), 0) AS rest,
+         sum(weight) FILTER (NOT is_capped) AS shares FROM capped
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN is_capped THEN 3.0::DOUBLE * source_size::DOUBLE ELSE (weight * rest)::DOUBLE / shares::DOUBLE END AS target
+  FROM capped, level
+), planned AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size::DOUBLE) ELSE 0 END AS repeats FROM targets
+), placed AS (
+  SELECT s.doc_id, s.size, p.source_size, p.target, p.repeats, p.target - p.repeats * p.source_size::DOUBLE AS need,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.hash) AS upto,
+         sum(s.size) OVER (PARTITION BY s.source, s.hash) AS own
+  FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+       (size * (repeats + CASE WHEN upto <= need OR (upto - own <= need AND upto - need < need - (upto - own)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
+"""
+
 ORACLES = {
+    "op3_source_mix": OP3,
     "op10_line_dedup": OP10,
 }
