@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import line_dedup, mixing
+from promptframe.llm import line_dedup, mixing, packing, quality_rules
 from promptframe.scratch import Scratch
 
 
@@ -13,12 +13,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op3")
     out = mixing.mix_sources(scratch, table(spark, folder, "documents"), whole=False)
     return out.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op4")
+    out = quality_rules.judge(scratch, table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    return out.select("doc.doc_id", *quality_rules.MEASURES, "base_failed", "kept", "probability")
+
+
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op8")
+    return packing.pack_documents(scratch, table(spark, folder, "documents"), tokenizer_path())
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op10")
     out = line_dedup.dedup_lines(scratch, table(spark, folder, "documents").select("doc_id", "text"))
@@ -28,5 +45,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_source_mix": op3_source_mix,
+    "op4_quality_votes": op4_quality_votes,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
