@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import line_dedup, mixing, packing, quality_rules
+from promptframe.llm import language, line_dedup, mixing, neighbours, packing, quality_rules
+from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
 
@@ -19,6 +20,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.learn(docs, ~held_out(F.col("doc_id")))
+    out = language.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return out.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op2")
+    return neighbours.nearest(scratch, table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op3")
     out = mixing.mix_sources(scratch, table(spark, folder, "documents"), whole=False)
@@ -44,6 +57,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cross_parsing": op1_cross_parsing,
+    "op2_block_neighbours": op2_block_neighbours,
     "op3_source_mix": op3_source_mix,
     "op4_quality_votes": op4_quality_votes,
     "op8_best_fit_packing": op8_best_fit_packing,
