@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import language, line_dedup, mixing, neighbours, packing, quality_rules
+from promptframe.llm import language, line_dedup, mixing, neighbours, packing, quality_knn, quality_rules
 from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
@@ -44,6 +44,14 @@ def op4_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc.doc_id", *quality_rules.MEASURES, "base_failed", "kept", "probability")
 
 
+def op7_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality_knn.learn(docs, labels, ~held_out(F.col("doc_id")))
+    out = quality_knn.score(docs.select("doc_id", "text"), model, keep_text=False)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return out.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"), "score", predicted)
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op8")
     return packing.pack_documents(scratch, table(spark, folder, "documents"), tokenizer_path())
@@ -61,6 +69,7 @@ QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
     "op3_source_mix": op3_source_mix,
     "op4_quality_votes": op4_quality_votes,
+    "op7_neighbour_quality": op7_neighbour_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
