@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import language, line_dedup, mixing, neighbours, packing, quality_knn, quality_rules
+from promptframe.llm import language, line_dedup, mixing, neighbours, packing, pii, quality_knn, quality_rules
 from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
@@ -57,6 +57,20 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(scratch, table(spark, folder, "documents"), tokenizer_path())
 
 
+def op9_disclosing_terms(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op9")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.find_spans(scratch, docs), "doc_id", "text", keep_text=False)
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
+    base = F.filter(spans, lambda s: s["kind"] < len(pii.PATTERNS))
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.PATTERNS)
+    ]
+    digest = F.sha2(pii.written(base), 256).alias("base_sha256")
+    return found.select("row.doc_id", *counts, digest, pii.written(spans).alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op10")
     out = line_dedup.dedup_lines(scratch, table(spark, folder, "documents").select("doc_id", "text"))
@@ -71,5 +85,6 @@ QUERIES = {
     "op4_quality_votes": op4_quality_votes,
     "op7_neighbour_quality": op7_neighbour_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_disclosing_terms": op9_disclosing_terms,
     "op10_line_dedup": op10_line_dedup,
 }
