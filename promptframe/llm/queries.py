@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import language, line_dedup, mixing, neighbours, packing, pii, quality_knn, quality_rules
+from promptframe.llm import language, line_dedup, mixing, neighbours, packing, pii, quality_knn, quality_rules, repeated_spans
 from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
@@ -44,6 +44,12 @@ def op4_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc.doc_id", *quality_rules.MEASURES, "base_failed", "kept", "probability")
 
 
+def op6_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op6")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return repeated_spans.remove_repeats(scratch, docs, with_kept=False).withColumnRenamed("own_id", "doc_id")
+
+
 def op7_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = quality_knn.learn(docs, labels, ~held_out(F.col("doc_id")))
@@ -83,6 +89,7 @@ QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
     "op3_source_mix": op3_source_mix,
     "op4_quality_votes": op4_quality_votes,
+    "op6_repeated_spans": op6_repeated_spans,
     "op7_neighbour_quality": op7_neighbour_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_disclosing_terms": op9_disclosing_terms,
