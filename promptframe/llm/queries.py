@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import language, line_dedup, mixing, neighbours, packing, pii, quality_knn, quality_rules, repeated_spans
+from promptframe.llm import language, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality_knn, quality_rules, repeated_spans
 from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
@@ -44,6 +44,13 @@ def op4_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc.doc_id", *quality_rules.MEASURES, "base_failed", "kept", "probability")
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op5")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = ngram_join.memberships(scratch, docs, "doc_id", "text", width=3, percent=90)
+    return found.select("doc.id", F.col("size").alias("n_shingles"), "component_id").withColumnRenamed("id", "doc_id")
+
+
 def op6_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark, "op6")
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -89,6 +96,7 @@ QUERIES = {
     "op2_block_neighbours": op2_block_neighbours,
     "op3_source_mix": op3_source_mix,
     "op4_quality_votes": op4_quality_votes,
+    "op5_ngram_join": op5_ngram_join,
     "op6_repeated_spans": op6_repeated_spans,
     "op7_neighbour_quality": op7_neighbour_quality,
     "op8_best_fit_packing": op8_best_fit_packing,
