@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.session import ensure_checkpoint_dir
+from promptframe.session import configure, ensure_checkpoint_dir
 
 
 class Scratch:
@@ -18,6 +18,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str, keep: tuple[str, ...] = ()):
+        configure(spark)
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.keep, self.paths = set(keep), {}
