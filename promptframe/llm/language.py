@@ -102,7 +102,18 @@ class Model:
         self.symbol_of = np.zeros(256, np.int32)
         self.symbol_of[used] = np.arange(1, len(used) + 1)
         self.symbols = len(used) + 1
-        self.automata = [Automaton(texts[x], self.symbol_of, self.symbols) for x in self.names]
+        automata = [Automaton(texts[x], self.symbol_of, self.symbols) for x in self.names]
+        self.steps, self.costs = [x.steps for x in automata], np.array([x.cost for x in automata])
+
+    def state(self) -> dict:
+        """Plain arrays, which travel without this class."""
+        return {k: getattr(self, k) for k in ("names", "symbol_of", "symbols", "steps", "costs")}
+
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text by language."""
@@ -120,13 +131,13 @@ class Model:
         if not len(owner):
             return out
         lanes = np.searchsorted(-size, -np.arange(size[0]), side="left")
-        states = [np.zeros(len(owner), np.int32) for _ in self.automata]
-        ended = [np.ones(len(owner), np.int32) for _ in self.automata]
+        states = [np.zeros(len(owner), np.int32) for _ in self.steps]
+        ended = [np.ones(len(owner), np.int32) for _ in self.steps]
         for t in range(int(size[0])):
             n = lanes[t]
             symbol = data[begin[:n] + t]
-            for automaton, state, count in zip(self.automata, states, ended):
-                step = automaton.steps.take(state[:n].astype(np.int64) * self.symbols + symbol)
+            for steps, state, count in zip(self.steps, states, ended):
+                step = steps.take(state[:n].astype(np.int64) * self.symbols + symbol)
                 over = step >> 31  # -1 where a phrase ended
                 count[:n] -= over
                 np.bitwise_xor(step, over, out=state[:n])
@@ -145,7 +156,7 @@ class Model:
                 chosen.append(at[begin])
                 total += len(some[-1])
                 begin += 1
-            cost = self.phrases(some) * np.array([x.cost for x in self.automata])
+            cost = self.phrases(some) * self.costs
             best = cost.argmin(axis=1)
             least = np.sort(cost, axis=1)
             for i, row, name, low in zip(chosen, least, best, least[:, 0]):
@@ -176,11 +187,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep_text: bool
     """``doc`` (the row as it was), ``lang_pred`` and ``score``, the margin to the second language."""
     kept = [c for c in docs.columns if keep_text or c != text]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("body"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model.of(shared.value)
         for batch in batches:
-            found = shared.value.predict(batch.column(1).to_pylist())
+            found = model.predict(batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "lang_pred", "score"])
 

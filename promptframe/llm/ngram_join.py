@@ -12,8 +12,8 @@ sets must agree on it, or for two, then they may differ in one element, which
 deleting any one element from either side finds. With ``H + 1`` counted in all,
 some segment must match. How many segments count for two is what costs least
 for the band: more of them mean fewer and larger segments, with fewer chance
-matches, but a signature for every deletion. A set is also indexed in the next
-band where a partner there can be close enough.
+matches, but a signature for every deletion. A set is also indexed in the
+bands above where a partner can be close enough.
 
 Groups. Classes that share a signature hang on the smallest one of it, so a
 signature that very many share costs one row each. The connected classes are
@@ -52,8 +52,8 @@ BLOCK = 512
 BAND = 1.25
 # Words whose hashes a task remembers.
 REMEMBERED = 500_000
+# Shingles of one product.
 COLUMNS = 4096
-MEGABYTE = 1 << 20
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -87,14 +87,6 @@ def shingles(text: str | None, hashes: WordHashes, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def band_of(size: int) -> int:
-    """Bands of growing sizes; each of the first holds one size."""
-    band, low = 0, 1
-    while size >= (top := bound(low)):
-        band, low = band + 1, top
-    return band
-
-
 def bound(low: int) -> int:
     return max(low + 1, int(low * BAND))
 
@@ -127,13 +119,13 @@ def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int
 
 
 def signatures(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[int, int]], percent: int) -> np.ndarray:
-    """The signatures of a set in its band and, where a partner there can be close, in the next."""
+    """The signatures of a set in its band and in those above where a partner can be close."""
     size = len(tokens)
     own = next(k for k, (_, last) in enumerate(limits) if size <= last)
     out = []
-    for band in (own, own + 1):
+    for band in range(own, len(limits)):
         if band > own and 100 * size < percent * limits[band][0]:
-            continue
+            break
         segments, twos = plan[band]
         place = (_mixed(tokens ^ _A) % np.uint64(segments)).astype(np.int64)
         value = _mixed(tokens + _C)

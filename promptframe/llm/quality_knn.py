@@ -84,6 +84,7 @@ def units(x: np.ndarray) -> np.ndarray:
 class Model:
     def __init__(self, sample: np.ndarray, labels: np.ndarray, prior: float):
         self.prior, self.labels = prior, labels.astype(np.float32)
+        self.projection = self.vectors = None
         if not len(sample):
             return
         seen = (sample > 0).sum(axis=0)
@@ -97,6 +98,16 @@ class Model:
         self.projection = (rarity[:, None] * (start @ right.T[:, :DIMENSIONS])).astype(np.float32)
         self.vectors = units(sample @ self.projection)
 
+    def state(self) -> dict:
+        """Plain arrays, which travel without this class."""
+        return dict(self.__dict__)
+
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        out = cls.__new__(cls)
+        out.__dict__.update(state)
+        return out
+
     def scores(self, found: np.ndarray) -> np.ndarray:
         """The score of each bag."""
         out = np.full(len(found), self.prior)
@@ -148,14 +159,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = T
     """``doc`` (the row as it was) and ``score``."""
     kept = [c for c in docs.columns if keep_text or c != text]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("body"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.state())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
+        terms, model = Terms(), Model.of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)
-                found = shared.value.scores(bags(part.column(1).to_pylist(), terms))
+                found = model.scores(bags(part.column(1).to_pylist(), terms))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], names=["doc", "score"])
 
     return packed.mapInArrow(rows, f"doc {packed.schema['doc'].dataType.simpleString()}, score double")
