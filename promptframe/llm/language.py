@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from promptframe.llm.words import beside
+
 SAMPLE_ROWS, SAMPLE_CHARS = 120, 400
 # All training text together, in bytes.
 SAMPLE_BYTES = 1 << 20
@@ -196,5 +198,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep_text: bool
             columns = [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "lang_pred", "score"])
 
-    doc_type = packed.schema["doc"].dataType.simpleString()
-    return packed.mapInArrow(rows, f"doc {doc_type}, lang_pred string, score double")
+    return packed.mapInArrow(rows, beside(packed, "doc", lang_pred="string", score="double"))

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from promptframe.llm.words import beside
+
 SAMPLE_ROWS, DIMENSIONS, NEIGHBOURS, SHARPNESS = 1500, 48, 25, 8
 WORD_TERMS, SHAPE_TERMS = 2048, 512
 TERMS = WORD_TERMS + SHAPE_TERMS + 2
@@ -169,4 +171,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = T
                 found = model.scores(bags(part.column(1).to_pylist(), terms))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], names=["doc", "score"])
 
-    return packed.mapInArrow(rows, f"doc {packed.schema['doc'].dataType.simpleString()}, score double")
+    return packed.mapInArrow(rows, beside(packed, "doc", score="double"))

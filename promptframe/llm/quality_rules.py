@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promptframe.llm.words import beside
 from promptframe.scratch import Scratch
 
 # Fixed values of the base measures.
@@ -134,7 +135,7 @@ def measured(docs: DataFrame, text: str, keep_text: bool) -> DataFrame:
     """``docs`` as ``doc``, with the base measures and ``votes``."""
     kept = [c for c in docs.columns if keep_text or c != text]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(text).alias("body"))
-    schema = f"doc {packed.schema['doc'].dataType.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES) + ", votes long"
+    schema = beside(packed, "doc", **{m: "long" for m in [*MEASURES, "votes"]})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = new_numbers()

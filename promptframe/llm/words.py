@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The white space and the words of every operator here.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -26,3 +27,11 @@ def lower_ascii(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Whether a row belongs to the fifth that no model learns from; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
+
+
+def beside(packed: DataFrame, column: str, **more: str) -> StructType:
+    """The schema of ``column`` of ``packed`` and further columns."""
+    out = StructType([packed.schema[column]])
+    for name, kind in more.items():
+        out.add(name, kind)
+    return out
