@@ -306,7 +306,10 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc`` (``none, id``, and the hash of the text), ``size`` and ``component_id`` of every row."""
+    """``doc`` (``none, id``, and the hash of the text), ``size``, ``component`` and ``component_id`` of every row.
+
+    ``component`` names the group; groups of one id, which several rows hold, have one ``component_id``.
+    """
     rows = scratch.store(sized(docs, doc_id, text, width, percent), "rows")
     one = rows.filter("size > 0").groupBy("c1", "c2").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("signatures").alias("signatures"))
     classes = scratch.store(one.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -325,12 +328,12 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     component = F.coalesce("component", "node")
     of_class = of_class.select("c1", "c2", "id", component.alias("component"))
     smallest = of_class.groupBy("component").agg(F.min("id").alias("component_id"))
-    known = of_class.join(smallest, "component").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "component_id")
+    known = of_class.join(smallest, "component").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "component", "component_id")
     known = scratch.store(known, "known")
     same = (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")) & (F.col("size") > 0)
     scratch.drop("sets", "classes", "grouped")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc.id"))
-    return rows_slim.join(known, same, "left").select("doc", "size", own.alias("component_id"))
+    return rows_slim.join(known, same, "left").select("doc", "size", "component", own.alias("component_id"))
 
 
 def representatives(scratch: Scratch, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -340,7 +343,7 @@ def representatives(scratch: Scratch, docs: DataFrame, doc_id: str = "doc_id", t
     smallest hash of its text stays, and of equal rows one.
     """
     found = memberships(scratch, docs, doc_id, text, width, percent)
-    first = found.filter("size > 0").groupBy("component_id").agg(F.min("doc").alias("doc")).select("doc")
+    first = found.filter("size > 0").groupBy("component").agg(F.min("doc").alias("doc")).select("doc")
     kept = scratch.store(first.unionByName(found.filter("size = 0").select("doc")).distinct(), "kept")
     k = kept.select(F.col("doc.none").alias("k_none"), F.col("doc.id").alias("k_id"), F.col("doc.text").alias("k_text"))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _doc(doc_id, text).alias("own"))
