@@ -22,7 +22,7 @@ def main() -> None:
     names = sys.argv[1:] or list(QUERIES)
     spark = local_session(cores, partitions=int(cores))
     # Start-up of the session and its workers is not a query's time.
-    for name in ("tokens", "html_tree"):
+    for name in ("tokens", "python_filter"):
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import corpus as C
-from promptframe.functions.html import html_to_text_tree
 from promptframe.functions.text import (
     clean_xml,
     fingerprint,
@@ -120,10 +119,6 @@ def html_basic(spark: SparkSession, folder: str) -> DataFrame:
     return C.table(spark, folder, "pages").select("page_id", html_to_text_basic("html").alias("text"))
 
 
-def html_tree(spark: SparkSession, folder: str) -> DataFrame:
-    return C.table(spark, folder, "pages").select("page_id", html_to_text_tree("html").alias("text"))
-
-
 def clean_cells(spark: SparkSession, folder: str) -> DataFrame:
     dirty = F.concat(F.lit("\x07"), "text", F.lit("\U0001f600\x0b end"))
     return C.table(spark, folder, "documents").select("doc_id", clean_xml(dirty).alias("cell"))
@@ -299,7 +294,7 @@ def scored_requests(spark: SparkSession, folder: str) -> DataFrame:
         return {"message": {"content": str(len(text))}, "model": payload["model"], "eval_count": 1}
 
     numbered = ordering.with_seq(_requests(spark, folder), ["custom_id"])
-    chats = render.to_chat(numbered, MODEL, keep=["seq"])
+    chats = render.to_chat(numbered, MODEL, keep=["seq"], text_format=SPAM_CONTRACT.text_format())
     done = inference.run_inference(chats, scorer, ["a", "b", "a"], 2, transient=failures, backoff=0.0)
     return done.select(
         "seq",
@@ -401,7 +396,7 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
 
 def _labels_and_counts(spark: SparkSession, folder: str):
     counts = durable(_counts(spark, folder))
-    return evaluate.list_labels(counts), counts
+    return [r.label for r in evaluate.label_set(counts).collect()], counts
 
 
 def confusion(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,7 +407,8 @@ def confusion(spark: SparkSession, folder: str) -> DataFrame:
 def confusion_wide(spark: SparkSession, folder: str) -> DataFrame:
     listed, counts = _labels_and_counts(spark, folder)
     wide = reports.confusion_wide(counts, listed)
-    return wide.toDF(*["truth", *[f"pred_{i}" for i in range(len(listed))]])
+    # DuckDB does not tell column names that differ in case apart.
+    return wide.withColumnsRenamed({"Pred: spam": "Pred: spam_"})
 
 
 def per_class(spark: SparkSession, folder: str) -> DataFrame:
@@ -471,7 +467,7 @@ def stage_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
     counts = runlog.duration_histogram(_events(spark, folder), ["event_type"], F.col("value"), runlog.REQUEST_BUCKETS)
-    return counts.where(F.col("le") < float("inf"))
+    return counts
 
 
 def counters(spark: SparkSession, folder: str) -> DataFrame:
@@ -536,7 +532,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         can_read, emails, filter_chain, drop_audit, filter_counts, two_pass_audit, two_pass_kept, trim,
-        python_chain, python_filter, html_basic, html_tree, clean_cells, tokens, fingerprints,
+        python_chain, python_filter, html_basic, clean_cells, tokens, fingerprints,
         package, package_attachments, render_lines, prompt_override, chat,
         request_violations, request_summary, duplicate_ids,
         ordinals, shards_by_count, shards_by_bytes, review,

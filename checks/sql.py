@@ -1,7 +1,4 @@
-"""SQL over the given tables with the results the check queries must have.
-
-``html_tree`` has none: SQL has no HTML parser. It is tested on fixtures.
-"""
+"""SQL over the given tables with the results the check queries must have."""
 
 from __future__ import annotations
 
@@ -33,7 +30,7 @@ def _squeeze(x: str) -> str:
 def _lines(body: str = "body") -> str:
     heads = [("From", "h_from"), ("To", "h_to"), ("Subject", "h_subject"), ("Date", "h_date"), ("Reply-To", "h_reply")]
     parts = [f"CASE WHEN {c} <> '' THEN '{n}: ' || {c} || chr(10) ELSE '' END" for n, c in heads]
-    return " || ".join([*parts, "chr(10)", f"substr({body}, 1, 30000)"])
+    return " || ".join([*parts, "chr(10)", body])
 
 
 _SHORT = f"length({_strip('body')})"
@@ -220,7 +217,7 @@ ORACLES = {
         round(completed_requests / nullif(duration_seconds, 0), 6) AS requests_per_second FROM b""",
     "scored_requests": f"""WITH {_CORPUS}, t AS (
         SELECT custom_id, length({_lines()}) AS size, row_number() OVER (ORDER BY custom_id) - 1 AS seq FROM corpus)
-      SELECT seq, custom_id, CASE WHEN seq % 4 % 2 = 0 THEN 'a' ELSE 'b' END AS endpoint,
+      SELECT seq, custom_id, CASE WHEN seq % 3 = 1 THEN 'b' ELSE 'a' END AS endpoint,
         CASE WHEN size % 11 <> 0 THEN CAST(size AS VARCHAR) END AS content,
         CASE WHEN size % 11 = 0 THEN 'ConnectionError' END AS error_code,
         CASE WHEN size % 11 = 0 THEN 3 ELSE 1 END AS attempts FROM t""",
@@ -248,8 +245,8 @@ ORACLES = {
       FROM names g CROSS JOIN names p LEFT JOIN predicted r ON r.ground_truth = g.label AND r.predicted = p.label
       GROUP BY 1, 2""",
     "confusion_wide": f"""{_EVAL}, names AS (SELECT ground_truth AS label FROM predicted UNION SELECT predicted FROM predicted)
-      SELECT 'True: ' || g.label AS truth, coalesce(count_if(r.predicted = 'Spam'), 0) AS pred_0, coalesce(count_if(r.predicted = 'ham'), 0) AS pred_1,
-        coalesce(count_if(r.predicted = 'none'), 0) AS pred_2, coalesce(count_if(r.predicted = 'spam'), 0) AS pred_3
+      SELECT 'True: ' || g.label AS truth, coalesce(count_if(r.predicted = 'Spam'), 0) AS "Pred: Spam", coalesce(count_if(r.predicted = 'ham'), 0) AS "Pred: ham",
+        coalesce(count_if(r.predicted = 'none'), 0) AS "Pred: none", coalesce(count_if(r.predicted = 'spam'), 0) AS "Pred: spam_"
       FROM names g LEFT JOIN predicted r ON r.ground_truth = g.label GROUP BY g.label""",
     "per_class": f"{_EVAL}, {_classes('predicted')} {_CLASS_ROWS}",
     "summary": f"""{_EVAL}, {_classes('predicted')}, s AS (
@@ -275,7 +272,7 @@ ORACLES = {
     "stage_stats": """SELECT event_type AS stage, count(value) AS count, round(sum(value), 3) AS total_ms,
       min(value) AS min_ms, max(value) AS max_ms, round(avg(value), 6) AS mean_ms FROM events GROUP BY 1""",
     "histogram": """SELECT event_type, CAST(b AS DOUBLE) AS le, CAST(count_if(value <= b) AS BIGINT) AS n
-      FROM events CROSS JOIN (VALUES (0.5), (1), (2), (5), (10), (30), (60), (120), (300)) t(b) GROUP BY 1, 2""",
+      FROM events CROSS JOIN (VALUES (0.5::DOUBLE), (1), (2), (5), (10), (30), (60), (120), (300), ('inf')) t(b) GROUP BY 1, 2""",
     "counters": """SELECT user_id, CASE WHEN event_type = 'error' THEN 'failure' ELSE 'success' END AS status,
       count(*) AS n FROM events GROUP BY 1, 2""",
     "status_changes": f"WITH {_CHANGES} SELECT event_id, ts, user_id, event_type FROM changes",

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Closes the array that wraps a text. A text with anything after its JSON
-# value moves or hides the mark and is refused.
-_END = "⟂"
-
 
 def parse_whole(text: Column | str) -> Column:
-    """Variant of a text that is exactly one JSON value, else null."""
+    """Variant of a text that is exactly one JSON value, else null.
+
+    The text is the first of two elements of an array; the second is the text's
+    own hash, which no text can hold, so whatever follows its value moves or
+    hides that mark and is refused.
+    """
     text = F.col(text) if isinstance(text, str) else text
-    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
-    whole = F.try_variant_get(boxed, "$[1]", "string") == _END
+    mark = F.sha2(text, 256)
+    boxed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    whole = F.try_variant_get(boxed, "$[1]", "string") == mark
     return F.when(whole, F.try_variant_get(boxed, "$[0]", "variant"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -47,28 +48,70 @@ class RowTransform:
     apply: Callable[[dict], dict]
 
 
-def python_filter(name: str, test: Callable[..., tuple[bool, str]], *columns: str) -> Filter:
-    """A filter from a Python function ``(*values) -> (keep, reason)``."""
+@dataclass(frozen=True)
+class PythonFilter:
+    """A named row test in Python: ``test(*values) -> (keep, reason)``."""
 
-    @F.pandas_udf("keep boolean, reason string")
-    def judge(*values: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([test(*row) for row in zip(*values)], columns=["keep", "reason"], index=values[0].index)
+    name: str
+    test: Callable[..., tuple[bool, str]]
+    columns: tuple[str, ...]
 
-    judged = judge(*[F.col(c) for c in columns])
-    return Filter(name, ~judged["keep"], judged["reason"])
 
+def python_filter(name: str, test: Callable[..., tuple[bool, str]], *columns: str) -> PythonFilter:
+    """A filter from a Python function ``(*values) -> (keep, reason)``."""
+    return PythonFilter(name, test, columns)
 
-def mark_rejects(df: DataFrame, filters: Sequence[Filter]) -> DataFrame:
-    """Add ``reject struct<filter,reason>``: the first filter that rejects, or null.
 
-    One CASE expression: later filters are not evaluated on rejected rows, and
-    no row leaves, so kept rows and audit come from one scan.
-    """
-    verdict = F.lit(None).cast("struct<filter:string,reason:string>")
+_VERDICT = "struct<filter:string,reason:string>"
+
+
+def _native_verdict(filters: Sequence[Filter], before: Column) -> Column:
+    verdict = F.lit(None).cast(_VERDICT)
     for f in reversed(filters):
         hit = F.struct(F.lit(f.name).alias("filter"), f.reason.alias("reason"))
         verdict = F.when(f.rejects, hit).otherwise(verdict)
-    return compute_once(df, **{REJECT: verdict})
+    return F.when(before.isNotNull(), before).otherwise(verdict)
+
+
+def _python_verdict(filters: Sequence[PythonFilter], before: Column) -> Column:
+    """One pass for neighbouring Python filters; each test sees only rows that are still kept.
+
+    Spark works a Python function out before the CASE around it, so the rows
+    to leave alone are named to the function itself.
+    """
+    names = list(dict.fromkeys(c for f in filters for c in f.columns))
+    places = [[names.index(c) for c in f.columns] for f in filters]
+
+    def first_rejection(values: tuple) -> tuple:
+        for f, own in zip(filters, places):
+            keep, reason = f.test(*[values[k] for k in own])
+            if not keep:
+                return f.name, reason
+        return None, None
+
+    @F.pandas_udf("filter string, reason string")
+    def judge(is_kept: pd.Series, *values: pd.Series) -> pd.DataFrame:
+        rows = zip(*values) if values else ((),) * len(is_kept)
+        found = [first_rejection(row) if ask else (None, None) for ask, row in zip(is_kept, rows)]
+        return pd.DataFrame(found, columns=["filter", "reason"], index=is_kept.index)
+
+    judged = judge(before.isNull(), *[F.col(c) for c in names])
+    return F.when(before.isNotNull(), before).when(judged["filter"].isNotNull(), judged)
+
+
+def mark_rejects(df: DataFrame, filters: Sequence[Filter | PythonFilter]) -> DataFrame:
+    """Add ``reject struct<filter,reason>``: the first filter that rejects, or null.
+
+    No filter is evaluated on a row that an earlier one rejected, also not one
+    that ``df`` already marks in ``reject``. No row leaves, so kept rows and
+    audit come from one scan.
+    """
+    if REJECT not in df.columns:
+        df = df.withColumn(REJECT, F.lit(None).cast(_VERDICT))
+    for is_python, group in groupby(filters, lambda f: isinstance(f, PythonFilter)):
+        make = _python_verdict if is_python else _native_verdict
+        df = compute_once(df, **{REJECT: make(list(group), F.col(REJECT))})
+    return df
 
 
 def kept(marked: DataFrame) -> DataFrame:
@@ -92,7 +135,8 @@ def run_transforms(df: DataFrame, transforms: Sequence[Transform | RowTransform]
 
     Neighbouring Python transforms share one pass over Arrow batches. A Python
     transform that raises leaves the row as it was and is noted in
-    ``transform_errors``; the row goes on to the next one.
+    ``transform_errors``; the row goes on to the next one. Rows marked in
+    ``reject`` pass Python transforms as they are.
     """
     steps: list = []
     for t in transforms:
@@ -125,9 +169,11 @@ def _python_pass(df: DataFrame, steps: list[RowTransform]) -> DataFrame:
     schema = df.schema
 
     def change(row: dict) -> dict:
+        if row.get(REJECT) is not None:
+            return row
         for step in steps:
             try:
-                row = {**row, **step.apply({k: v for k, v in row.items() if k != TRANSFORM_ERRORS})}
+                row = {**row, **step.apply({k: v for k, v in row.items() if k not in (TRANSFORM_ERRORS, REJECT)})}
             except Exception as error:
                 note = {"step": step.name, "error": f"{type(error).__name__}: {error}"}
                 row = {**row, TRANSFORM_ERRORS: [*row[TRANSFORM_ERRORS], note]}

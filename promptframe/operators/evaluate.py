@@ -28,12 +28,6 @@ def label_set(counts: DataFrame) -> DataFrame:
     return counts.select(both).distinct().orderBy("label")
 
 
-def list_labels(counts: DataFrame, max_labels: int = 1000) -> list[str] | None:
-    """The labels in order, or None if there are more than ``max_labels``."""
-    found = [r.label for r in label_set(counts).take(max_labels + 1)]
-    return found if len(found) <= max_labels else None
-
-
 def dense_confusion(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     """``ground_truth, predicted, n`` with a row for every pair of the given labels."""
     listed = F.array(*[F.lit(x) for x in labels]).cast("array<string>")
@@ -152,27 +146,25 @@ def auc(steps: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Evaluation:
-    """The frames of an evaluation. ``labels`` is None beyond ``max_labels`` of them."""
+    """The frames of an evaluation, in long form however many labels there are.
+
+    ``counts`` has the label pairs that occur; ``dense_confusion`` and the wide
+    table take the labels to list.
+    """
 
     predictions: DataFrame
     counts: DataFrame
     per_class: DataFrame
     summary: DataFrame
-    labels: list[str] | None
+    labels: DataFrame
     roc: DataFrame | None
     auc: float | None
 
-    @property
-    def confusion(self) -> DataFrame:
-        """Dense where the labels are few enough to list, else the pairs that occur."""
-        return self.counts if self.labels is None else dense_confusion(self.counts, self.labels)
-
 
 def evaluate(
     rows: DataFrame,
     positive: str | None = None,
     order: Sequence[Column | str] = ("custom_id",),
-    max_labels: int = 1000,
 ) -> Evaluation:
     """Evaluate ``custom_id, ground_truth, predicted, confidence`` rows.
 
@@ -180,10 +172,10 @@ def evaluate(
     follow only for a named positive class and exactly two labels.
     """
     counts = durable(confusion_counts(rows))
-    labels = list_labels(counts, max_labels)
+    labels = label_set(counts)
     classes = per_class(counts)
     curve, area = None, None
-    if positive and labels and len(labels) == 2:
+    if positive and len(labels.take(3)) == 2:
         steps = durable(roc_steps(rows, positive, order))
         if steps.take(1):
             curve, area = roc_points(steps), auc(steps).head().auc

@@ -33,6 +33,7 @@ def run_inference(
     scorer: Callable[[dict, str], dict],
     endpoints: list[str],
     parallel: int = 1,
+    shards: int | None = None,
     seq: str = "seq",
     transient: tuple[type[Exception], ...] = (ConnectionError, TimeoutError),
     max_attempts: int = MAX_ATTEMPTS,
@@ -41,14 +42,16 @@ def run_inference(
 ) -> DataFrame:
     """Call ``scorer(payload, endpoint)`` for each row of ``seq, custom_id, payload``.
 
-    Requests are dealt round robin to ``len(endpoints) * parallel`` partitions,
-    which bounds the calls in flight. Transient errors are tried again after a
+    Requests are dealt round robin to ``shards`` (as many as endpoints, if not
+    given), and shards round robin to endpoints; an endpoint that is listed
+    twice gets two shares. Each shard has ``parallel`` partitions, which bounds
+    the calls in flight. Transient errors are tried again after a
     growing pause and end as an error row; any other error fails the job or,
     with ``on_error="record"``, also ends as an error row. A task may run
     twice, so write the result once before using it (``split_outputs``).
     """
-    endpoints = list(dict.fromkeys(endpoints))
-    slots = len(endpoints) * parallel
+    shards = shards or len(endpoints)
+    slots = shards * parallel
     dealt = chats.select(
         F.col(seq).alias("seq"), "custom_id", F.to_json("payload").alias("payload"), round_robin(seq, slots).alias("slot")
     ).repartitionById(slots, F.col("slot"))
@@ -72,7 +75,7 @@ def run_inference(
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
-                endpoint = endpoints[row.slot % len(endpoints)]
+                endpoint = endpoints[row.slot % shards % len(endpoints)]
                 rows.append((row.seq, row.custom_id, endpoint, *call(row.payload, endpoint)))
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
@@ -80,23 +83,29 @@ def run_inference(
     return scored.withColumn("response", F.from_json("response", RESPONSE))
 
 
-def score_in_waves(
-    chats: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, rows_per_wave: int, seq: str = "seq"
+def score_resumable(
+    chats: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, rows_per_round: int, seq: str = "seq"
 ) -> DataFrame:
-    """Score ``rows_per_wave`` requests at a time and return the table of all results.
+    """Score all requests in rounds, each written before the next begins, and return the table of results.
 
-    Each wave is written before the next begins and is not scored again when
-    the job is run again, so a lost executor or driver costs one wave at most.
-    ``chats`` has to be a table: each wave reads its own stretch of ``seq``.
+    What has been scored is known by its row, ``seq`` and ``custom_id``, and by
+    nothing else: a rerun, also one with other rounds, scores the requests that
+    have no row yet. ``chats`` has to be a table: each round reads its own
+    stretch of ``seq`` of it and of the results.
     """
     spark = chats.sparkSession
     rows = chats.agg(F.coalesce(F.max(seq) + 1, F.lit(0))).head()[0]
-    parts = [f"{folder}/wave={w}" for w in range(max(1, -(-rows // rows_per_wave)))]
-    for wave, part in enumerate(parts):
-        if not is_complete(spark, part):
-            here = F.col(seq).between(wave * rows_per_wave, (wave + 1) * rows_per_wave - 1)
-            score(chats.where(here)).write.mode("overwrite").parquet(part)
-    return spark.read.parquet(*parts)
+    for first in range(0, max(rows, 1), rows_per_round):
+        here = F.col(seq).between(first, first + rows_per_round - 1)
+        todo = chats.where(here)
+        if is_complete(spark, folder):
+            done = spark.read.parquet(folder).where(here).select(F.col(seq).alias("_seq"), F.col("custom_id").alias("_id"))
+            # One round of ids at most on the right.
+            todo = todo.join(done, (F.col(seq) == F.col("_seq")) & F.col("custom_id").eqNullSafe(F.col("_id")), "left_anti")
+            if todo.isEmpty():
+                continue
+        score(todo).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def output_records(scored: DataFrame, provider: str = "chat", with_ids: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -111,7 +120,7 @@ def output_records(scored: DataFrame, provider: str = "chat", with_ids: bool = F
         return F.coalesce(r[name], F.lit(0).cast("long")).alias(name)
 
     def new_id() -> Column:
-        return F.concat(F.lit(f"{provider}_"), F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 12))
+        return F.concat(F.lit(f"{provider}_"), F.replace(F.uuid(), F.lit("-"), F.lit("")))
 
     text = F.struct(
         F.lit("output_text").alias("type"), F.coalesce(r["message"]["content"], F.lit("")).alias("text")
@@ -145,9 +154,13 @@ def split_outputs(records: DataFrame, folder: str) -> tuple[DataFrame, DataFrame
 
 
 def write_outputs(records: DataFrame, folder: str, seq: str = "seq") -> None:
-    """``output.jsonl`` and ``errors.jsonl`` folders of lines, each file in request order."""
-    ordered = records.select(seq, "error", record_line(records).alias("value")).orderBy(seq)
-    for name, side in (("output.jsonl", F.col("error").isNull()), ("errors.jsonl", F.col("error").isNotNull())):
+    """``output.jsonl`` and ``errors.jsonl`` folders of lines, each file in request order.
+
+    The records are worked out once: they are written before they are split.
+    """
+    lines = records.select(seq, F.col("error").isNull().alias("fine"), record_line(records).alias("value"))
+    ordered = write_step(lines, folder, "_lines").orderBy(seq)
+    for name, side in (("output.jsonl", F.col("fine")), ("errors.jsonl", ~F.col("fine"))):
         ordered.where(side).select("value").write.mode("overwrite").text(f"{folder}/{name}")
 
 

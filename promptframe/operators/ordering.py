@@ -1,26 +1,24 @@
 """Global order, running sums and neighbours without gathering the rows.
 
-A window ordered over a whole table runs in one task. Here each row gets a
-range id ``_range`` that is a function of its sort key and of a fixed list of
-bounds, one shuffle sends every range to its own task, and what a range needs
-from the ranges before it (an offset or a last row) is one row per range.
-Since the sort key ends in a unique column, a hot value spreads over ranges.
+A window ordered over a whole table runs in one task. Here the engine deals the
+rows into sorted ranges, which are written with their range id ``_range``; each
+range is then a task's window, and what it needs from the ranges before it (an
+offset or a last row) is one row per range. Since the sort key ends in a unique
+column, a hot value spreads over ranges.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promptframe.session import shuffle_partitions
+from promptframe.session import durable, shuffle_partitions
 
 RANGE = "_range"
 KEY = "_key"
-_SAMPLES_PER_RANGE = 30
 
 
 def _sort_key(order: Sequence[Column | str]) -> Column:
@@ -28,57 +26,17 @@ def _sort_key(order: Sequence[Column | str]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
 
 
-def _bounds(keys: DataFrame, ranges: int) -> list:
-    """Up to ``ranges - 1`` increasing keys that cut the rows about evenly.
-
-    Only where ranges begin depends on the sampled keys, not which rows are in the result.
-    The sample is chosen by key hash, so it is the same on every run.
-    """
-    rows = keys.count()
-    if ranges < 2 or rows < 2:
-        return []
-    keep_one_in = max(1, rows // (ranges * _SAMPLES_PER_RANGE))
-    sample = keys.where(F.pmod(F.xxhash64(KEY), F.lit(keep_one_in)) == 0) if keep_one_in > 1 else keys
-    # Distinct, so that a repeated key adds one entry to what the driver gets.
-    found = [r[0] for r in sample.select(KEY).distinct().orderBy(KEY).collect()]
-    step = len(found) / ranges
-    cuts = [found[int(i * step)] for i in range(1, ranges) if int(i * step) < len(found)]
-    return list(dict.fromkeys(cuts))
-
-
-def _range_id(key: Column, bounds: list, key_type) -> Column:
-    """How many bounds are at or below the key: first by blocks, then in the block."""
-    if not bounds:
-        return F.lit(0)
-    names = key_type.names
-
-    def literal(bound) -> Column:
-        return F.struct(*[F.lit(bound[n]).cast(key_type[n].dataType).alias(n) for n in names])
-
-    width = max(1, math.isqrt(len(bounds)))
-    blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-
-    def at_or_below(values: list) -> Column:
-        return F.size(F.filter(F.array(*[literal(v) for v in values]), lambda b: b <= key))
-
-    if len(blocks) == 1:
-        return at_or_below(bounds)
-    nested = F.array(*[F.array(*[literal(v) for v in block]) for block in blocks])
-    block = at_or_below([b[0] for b in blocks])
-    inside = F.size(F.filter(F.element_at(nested, block), lambda b: b <= key))
-    return F.when(block > 0, (block - 1) * width + inside).otherwise(F.lit(0))
-
-
 def with_range(df: DataFrame, order: Sequence[Column | str], ranges: int | None = None) -> DataFrame:
-    """Add ``_key`` and ``_range``; no row moves yet.
+    """Add ``_key`` and ``_range``, written once.
 
-    Two passes over the sort columns alone find the bounds, so call this on a
-    table or checkpoint rather than on a long chain of Python steps.
+    The engine's range partitioning deals the rows, and the partition a row
+    came to is kept as a column, so the plan has no bounds in it and stays as
+    short for thousands of ranges as for ten. The key ends in the row's place
+    in the input: rows that agree in ``order`` spread over ranges too.
     """
     ranges = ranges or shuffle_partitions(df.sparkSession)
-    keyed = df.withColumn(KEY, _sort_key(order))
-    bounds = _bounds(keyed.select(KEY), ranges)
-    return keyed.withColumn(RANGE, _range_id(F.col(KEY), bounds, keyed.schema[KEY].dataType))
+    keyed = df.withColumn(KEY, _sort_key([*order, F.monotonically_increasing_id()]))
+    return durable(keyed.repartitionByRange(ranges, KEY).withColumn(RANGE, F.spark_partition_id()))
 
 
 def by_range(ranged: DataFrame, ranges: int | None = None) -> DataFrame:

@@ -17,14 +17,13 @@ from promptframe.operators.contract import sanitise_json_schema
 ENDPOINT = "/v1/responses"
 METHOD = "POST"
 PACKAGED_HEADERS = ["From", "To", "Subject", "Date", "Reply-To"]
-BODY_CHARS = 30_000
 
 
-def package_text(headers: str = "headers", body: str = "body", max_chars: int | None = BODY_CHARS) -> Column:
+def package_text(headers: str = "headers", body: str = "body", max_chars: int | None = None) -> Column:
     """Header lines, a blank line and the body.
 
-    The body is cut at ``max_chars`` characters, which belongs to the request
-    format; ``None`` sends it whole.
+    The body is sent whole. With ``max_chars`` it is cut, and ``is_cut`` tells
+    which rows that changes.
     """
     lines = [
         F.when(F.col(headers)[h] != "", F.concat(F.lit(f"{h}: "), F.col(headers)[h])) for h in PACKAGED_HEADERS
@@ -35,6 +34,11 @@ def package_text(headers: str = "headers", body: str = "body", max_chars: int |
     return F.concat_ws("\n", *lines, F.lit(""), text)
 
 
+def is_cut(max_chars: int, body: str = "body") -> Column:
+    """Whether ``package_text`` leaves out a part of the body at this bound."""
+    return F.coalesce(F.char_length(body) > max_chars, F.lit(False))
+
+
 def with_attachments(base: Column, names: Column) -> Column:
     """Add the attachment section where there are attachments."""
     listed = F.array_join(F.transform(names, lambda n: F.concat(F.lit("  - "), n)), "\n")
@@ -121,11 +125,23 @@ def _sanitised(schemas: pd.Series) -> pd.Series:
     return schemas.map(clean, na_action="ignore")
 
 
-def to_chat(requests: DataFrame, model: str, keep: list[str] | None = None) -> DataFrame:
+def _with_clean_schemas(requests: DataFrame, schema: Column) -> DataFrame:
+    """Requests with ``_format``: each distinct schema is cleaned once and joined back."""
+    keyed = requests.withColumn("_schema", schema)
+    known = keyed.select(F.col("_schema").alias("_known")).where("_known IS NOT NULL").distinct()
+    known = known.withColumn("_format", _sanitised("_known"))
+    return keyed.join(known, F.col("_schema") == F.col("_known"), "left")
+
+
+def to_chat(
+    requests: DataFrame, model: str, keep: list[str] | None = None, text_format: dict | None = None
+) -> DataFrame:
     """Request rows to ``custom_id, payload`` of a chat endpoint.
 
     Instructions become the system message, the text parts of an input item
-    one message; items without text parts are left out.
+    one message; items without text parts are left out. With ``text_format``,
+    the contract block of all requests, the cleaned schema is a constant; else
+    it is found for each schema among the requests.
     """
     body = F.col("body")
     system = F.when(
@@ -154,19 +170,22 @@ def to_chat(requests: DataFrame, model: str, keep: list[str] | None = None) -> D
     ]
     if _has_text(requests):
         fmt = body["text"]["format"]
-        is_schema = fmt["type"] == "json_schema"
-        fields.append(_sanitised(F.when(is_schema, F.coalesce(fmt["schema"], F.lit("{}")))).alias("format"))
+        schema = F.when(fmt["type"] == "json_schema", F.coalesce(fmt["schema"], F.lit("{}")))
+        if text_format is None:
+            requests = _with_clean_schemas(requests, schema)
+            clean = F.col("_format")
+        else:
+            constant = json.dumps(sanitise_json_schema(text_format["format"]["schema"]))
+            clean = F.when(schema.isNotNull(), F.lit(constant))
+        fields.append(clean.alias("format"))
     return requests.select(*(keep or []), "custom_id", F.struct(*fields).alias("payload"))
 
 
 # Checks of a request set.
 
 
-def request_violations(requests: DataFrame, malformed: str | None = None) -> DataFrame:
-    """``custom_id, reason`` of every request that breaks a rule of its own.
-
-    Rules over several rows are in ``duplicate_ids`` and ``request_summary``.
-    """
+def _violation(malformed: str | None = None) -> Column:
+    """The first rule of its own that a request breaks, or null."""
     rules = [
         (F.coalesce(F.col("custom_id"), F.lit("")) == "", "missing custom_id"),
         (F.upper(F.coalesce(F.col("method"), F.lit(""))) != METHOD, "method must be POST"),
@@ -176,7 +195,15 @@ def request_violations(requests: DataFrame, malformed: str | None = None) -> Dat
     reason = F.coalesce(*[F.when(bad, F.lit(text)) for bad, text in rules])
     if malformed:
         reason = F.when(F.col(malformed), F.lit("invalid JSON")).otherwise(reason)
-    return requests.select("custom_id", reason.alias("reason")).where(F.col("reason").isNotNull())
+    return reason
+
+
+def request_violations(requests: DataFrame, malformed: str | None = None) -> DataFrame:
+    """``custom_id, reason`` of every request that breaks a rule of its own.
+
+    Rules over several rows are in ``duplicate_ids`` and ``request_summary``.
+    """
+    return requests.select("custom_id", _violation(malformed).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def duplicate_ids(requests: DataFrame) -> DataFrame:
@@ -209,15 +236,22 @@ def request_summary(requests: DataFrame) -> DataFrame:
 
 def require_valid_requests(requests: DataFrame, malformed: str | None = None) -> DataFrame:
     """The requests, once all checks have passed; else ``ValueError``."""
-    broken = request_violations(requests, malformed).take(1)
-    if broken:
-        raise ValueError(f"{broken[0].custom_id}: {broken[0].reason}")
+    # Two passes: one for the rows and their models, one for ids, which alone needs a shuffle.
+    marked = requests.withColumn("_model", F.coalesce(F.col("body.model"), F.lit("")))
+    reasons = _violation(malformed)
+    summary = marked.agg(
+        F.count("*").alias("total"),
+        F.min(F.when(reasons.isNotNull(), F.concat(F.coalesce("custom_id", F.lit("")), F.lit(": "), reasons))).alias("broken"),
+        F.min("_model").alias("first_model"),
+        F.max("_model").alias("last_model"),
+    ).head()
+    if summary.broken:
+        raise ValueError(summary.broken)
     repeated = duplicate_ids(requests).take(1)
     if repeated:
         raise ValueError(f"duplicate custom_id {repeated[0].custom_id!r}")
-    summary = request_summary(requests).head()
-    if summary.total_requests == 0:
+    if summary.total == 0:
         raise ValueError("no requests")
-    if summary.models > 1:
-        raise ValueError(f"mixed models: {summary.models}")
+    if summary.first_model != summary.last_model:
+        raise ValueError(f"mixed models: {summary.first_model!r}, {summary.last_model!r}")
     return requests

@@ -14,13 +14,11 @@ from promptframe.operators.contract import Contract
 from promptframe.operators.evaluate import Evaluation, dense_confusion
 from promptframe.operators.ordering import with_seq
 from promptframe.session import durable
+from promptframe.sources.storage import write_text
 
 # Contract fields that the prediction columns already cover.
 COVERED_FIELDS = ["label", "classification", "confidence", "certainty"]
 
-# Room for a million keys per answer and eight trillion answers.
-_POSITION_BITS = 20
-
 
 def cell(value: Column) -> Column:
     """Export text of a variant: text cleaned, lists and objects as JSON, null empty."""
@@ -31,11 +29,8 @@ def extra_columns(valid: DataFrame, known: Sequence[str], seq: str) -> DataFrame
     """``key, seq, pos``: unknown answer keys with the place of their first appearance."""
     keys = valid.select(F.col(seq).alias("seq"), F.posexplode(F.json_object_keys("raw_text")).alias("pos", "key"))
     fresh = keys.where(~F.col("key").isin([*known])) if known else keys
-    # Row and place in one number: a minimum of numbers aggregates by hash, one of structs by sorting.
-    place = F.shiftleft(F.col("seq"), _POSITION_BITS).bitwiseOR(F.col("pos").cast("long"))
-    first = fresh.groupBy("key").agg(F.min(place).alias("first"))
-    seq = F.shiftright("first", _POSITION_BITS)
-    return first.select("key", seq.alias("seq"), (F.col("first") - F.shiftleft(seq, _POSITION_BITS)).alias("pos"))
+    first = fresh.groupBy("key").agg(F.min(F.struct("seq", F.col("pos").cast("long").alias("pos"))).alias("first"))
+    return first.select("key", "first.seq", "first.pos")
 
 
 def resolve_columns(valid: DataFrame, contract: Contract | None = None, order: Sequence[str] = ("custom_id",)) -> list[str]:
@@ -79,13 +74,19 @@ def confusion_wide(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     return dense_confusion(counts, labels).groupBy(truth).agg(*cells)
 
 
-def evaluation_dict(result: Evaluation) -> dict:
-    """The evaluation as plain data, ratios to four digits. Needs a listed label set."""
-    if result.labels is None:
-        raise ValueError("too many labels to list; use the frames")
+def evaluation_dict(result: Evaluation, labels: Sequence[str] | None = None) -> dict:
+    """The evaluation as plain data, ratios to four digits.
+
+    Lists the given labels, else all of them; the matrix has a row and a column
+    for each, so name them where there are very many.
+    """
+    labels = list(labels) if labels is not None else [r.label for r in result.labels.collect()]
     values = {r.metric: r.value for r in result.summary.collect()}
-    cells = {(r.ground_truth, r.predicted): r.n for r in result.counts.collect()}
-    classes = sorted(result.per_class.collect(), key=lambda r: r.label)
+    listed = F.broadcast(result.counts.sparkSession.createDataFrame([(x,) for x in labels], "label string"))
+    among = result.counts.join(listed, F.col("ground_truth") == F.col("label"), "left_semi")
+    among = among.join(listed, F.col("predicted") == F.col("label"), "left_semi")
+    cells = {(r.ground_truth, r.predicted): r.n for r in among.collect()}
+    classes = sorted(result.per_class.join(listed, "label", "left_semi").collect(), key=lambda r: r.label)
     total = int(values.pop("total_predictions"))
     out = {name: round(value, 4) for name, value in values.items()}
     out["per_class"] = [
@@ -97,17 +98,16 @@ def evaluation_dict(result: Evaluation) -> dict:
         for r in classes
     ]
     out["confusion_matrix"] = {
-        "labels": result.labels,
-        "matrix": [[cells.get((t, p), 0) for p in result.labels] for t in result.labels],
+        "labels": labels,
+        "matrix": [[cells.get((t, p), 0) for p in labels] for t in labels],
     }
     out["total_predictions"] = total
     return out
 
 
-def write_evaluation_json(result: Evaluation, path: str) -> None:
-    with open(path, "w", encoding="utf-8") as file:
-        json.dump(evaluation_dict(result), file, indent=2)
-        file.write("\n")
+def write_evaluation_json(result: Evaluation, path: str, labels: Sequence[str] | None = None) -> None:
+    """One JSON file, on any storage that Spark reaches."""
+    write_text(result.counts.sparkSession, path, json.dumps(evaluation_dict(result, labels), indent=2) + "\n")
 
 
 def write_table(df: DataFrame, folder: str, form: str = "csv") -> None:

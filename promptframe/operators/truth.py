@@ -12,6 +12,8 @@ from promptframe.session import durable
 
 # Rows of a prefix map up to which it is sent to every task.
 BROADCAST_PREFIXES = 100_000
+# Shares of the ids of one prefix beyond that.
+SALTS = 16
 
 
 def predicted_label(value: Column) -> Column:
@@ -60,9 +62,16 @@ def join_prefix(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     joined as Spark decides.
     """
     known = prefixes.select(F.col("prefix").alias("_prefix"), F.col("label").alias("by_prefix"))
-    if len(known.take(BROADCAST_PREFIXES + 1)) <= BROADCAST_PREFIXES:
-        known = F.broadcast(known)
-    return rows.withColumn("_prefix", name_prefix("custom_id")).join(known, "_prefix", "left").drop("_prefix")
+    named = rows.withColumn("_prefix", name_prefix("custom_id"))
+    if known.limit(BROADCAST_PREFIXES + 1).count() <= BROADCAST_PREFIXES:
+        return named.join(F.broadcast(known), "_prefix", "left").drop("_prefix")
+    # Beyond it: ids without a prefix have nothing to look for and stay out of the shuffle; the few
+    # prefixes that very many ids share are spread, each over copies of its one row of the map.
+    salted = named.where("_prefix IS NOT NULL").withColumn("_salt", F.pmod(F.xxhash64("custom_id"), F.lit(SALTS)))
+    copies = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    found = salted.join(copies, ["_prefix", "_salt"], "left").drop("_prefix", "_salt")
+    rest = named.where("_prefix IS NULL").withColumn("by_prefix", F.lit(None).cast("string")).drop("_prefix")
+    return found.unionByName(rest)
 
 
 def resolve_truth(rows: DataFrame, truth: DataFrame | None = None, prefixes: DataFrame | None = None) -> DataFrame:

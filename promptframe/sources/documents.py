@@ -9,11 +9,12 @@ from promptframe.functions.text import suffix
 
 # Suffixes of mail files, and suffixes that are never mail.
 MAIL_SUFFIXES = [".eml", ".txt", ".msg"]
-OTHER_SUFFIXES = (
-    ".jpg .jpeg .png .gif .bmp .tiff .webp .pdf .doc .docx .xls .xlsx .ppt .pptx "
-    ".zip .gz .tar .bz2 .7z .rar .mp3 .mp4 .avi .mov .wav .exe .dll .so .dylib "
-    ".py .js .ts .css .html .json .xml .csv .toml .yaml .yml .ini .cfg .conf .md .rst .log"
-).split()
+OTHER_SUFFIXES = [
+    ".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".webp", ".pdf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx",
+    ".zip", ".gz", ".tar", ".bz2", ".7z", ".rar", ".mp3", ".mp4", ".avi", ".mov", ".wav", ".exe", ".dll", ".so", ".dylib",
+    ".py", ".js", ".ts", ".css", ".html", ".json", ".xml", ".csv", ".toml", ".yaml", ".yml", ".ini", ".cfg", ".conf",
+    ".md", ".rst", ".log",
+]
 
 
 def accepts_mail_name(name: Column | str) -> Column:
@@ -29,7 +30,7 @@ def list_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``custom_id, path, length`` of the files directly in ``folder``.
 
     The content column is not selected, so no file is opened. Spark leaves out
-    names that start with ``_`` or ``.``.
+    names that start with ``_`` or ``.``; ``storage.hidden_names`` lists them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
     return files.select(file_name("path").alias("custom_id"), "path", "length")

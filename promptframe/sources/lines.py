@@ -9,6 +9,9 @@ from promptframe.functions.answers import as_string, member, parse_whole
 from promptframe.functions.frames import compute_once
 from promptframe.functions.text import strip
 
+# Files beside the answers that hold none.
+NO_ANSWERS = ["errors.jsonl", "status_history.jsonl"]
+
 _PARTS = "array<struct<role:variant,content:array<variant>>>"
 
 
@@ -22,13 +25,13 @@ def read_outputs(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of the answer files of a job.
 
     A file or folder named ``output.jsonl`` is preferred; else every ``*.jsonl`` there is
-    read but for error and history files.
+    read but for those named in ``NO_ANSWERS``.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted(s.getPath().getName() for s in fs.listStatus(path))
     chosen = [n for n in names if n == "output.jsonl"] or [
-        n for n in names if n.endswith(".jsonl") and not n.startswith("errors") and "history" not in n
+        n for n in names if n.endswith(".jsonl") and n not in NO_ANSWERS
     ]
     if not chosen:
         raise FileNotFoundError(f"no answer files in {folder}")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptframe.functions.answers import parse_whole
+from promptframe.sources.storage import read_text
 
 
 def write_step(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -36,10 +37,12 @@ def read_validated_json(spark: SparkSession, path: str, contract_id: str = "file
     return lines.where(F.col("data").isNotNull()).select(custom_id.alias("custom_id"), "data", "raw_text")
 
 
-def read_evaluation(path: str) -> dict:
+def read_evaluation(spark: SparkSession, path: str) -> dict:
     """A saved evaluation; class ratios are derived again from the counts."""
-    with open(path, encoding="utf-8") as file:
-        saved = json.load(file)
+    text = read_text(spark, path)
+    if text is None:
+        raise FileNotFoundError(f"no evaluation {path}")
+    saved = json.loads(text)
     for row in saved.get("per_class", []):
         tp, fp, fn = (row.get(k, 0) for k in ("tp", "fp", "fn"))
         row["support"] = tp + fn

@@ -97,10 +97,29 @@ def test_request_line(spark):
     assert render.require_valid_requests(back, "malformed").count() == 12
 
 
-def test_body_is_cut_by_the_request_format_only(spark):
+def test_body_is_cut_on_request_only(spark):
     long = spark.createDataFrame([({}, "é" * 40_000)], "headers map<string,string>, body string")
-    lengths = long.select(F.length(render.package_text()), F.length(render.package_text(max_chars=None))).head()
-    assert tuple(lengths) == (30_001, 40_001)
+    lengths = long.select(
+        F.length(render.package_text()), F.length(render.package_text(max_chars=30_000)), render.is_cut(30_000), render.is_cut(40_000)
+    ).head()
+    assert tuple(lengths) == (40_001, 30_001, True, False)
+
+
+def test_chat_schema_is_a_constant_or_found_by_text(spark):
+    block = SPAM_CONTRACT.text_format()
+    requests = render.render_requests(documents(spark), F.lit("t"), "m", "do", block)
+    one, other = (render.to_chat(requests, "m", text_format=x).select("custom_id", "payload.format") for x in (block, None))
+    assert sorted(one.collect()) == sorted(other.collect())
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_no_text_can_hold_its_own_mark(spark, column):
+    from promptframe.functions.answers import parse_whole
+
+    texts = ['{"a":1}', '{"a":1},"⟂"', '{"a":1},"⟂"] and more', '{"a":1} x', '{"a":1},{"b":2}', "1] [2"]
+    whole = column(texts, F.to_json(parse_whole("x")))
+    assert whole == ['{"a":1}', None, None, None, None, None]
 
 
 def test_request_checks(spark):
@@ -181,4 +200,4 @@ def test_other_errors_fail_or_are_recorded(spark):
 def test_record_ids_on_request(spark):
     result = scored(spark, lambda p, e: {"message": {"content": "x"}})
     body = inference.output_records(result, with_ids=True).head().response
-    assert body.request_id.startswith("chat_") and len(body.body.id) == len("chat_") + 12
+    assert body.request_id.startswith("chat_") and len(body.body.id) == len("chat_") + 32

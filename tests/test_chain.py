@@ -79,3 +79,22 @@ def test_costly_columns_are_computed_once(spark):
     marked = chain.mark_rejects(mails(spark), [chain.empty_body_filter()])
     plan = chain.kept(marked)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
+
+
+def test_python_filters_see_only_rows_that_are_kept(spark):
+    def long_enough(body):
+        return len(body) > 3, "short"  # would fail on a null body
+
+    def no_x(body):
+        assert len(body) > 3
+        return "x" not in body, "has x"
+
+    docs = spark.createDataFrame([("a", None), ("b", "abc"), ("c", "abcdx"), ("d", "abcd")], "custom_id string, body string")
+    filters = [
+        chain.Filter("none", F.col("body").isNull(), F.lit("no body")),
+        chain.python_filter("long", long_enough, "body"),
+        chain.python_filter("no_x", no_x, "body"),
+        chain.Filter("last", F.col("custom_id") == "d", F.lit("d")),
+    ]
+    found = {r.filename: r.filter for r in chain.drop_audit(chain.mark_rejects(docs, filters)).collect()}
+    assert found == {"a": "none", "b": "long", "c": "no_x", "d": "last"}

@@ -46,20 +46,24 @@ def test_small_cases(spark):
     spam = E.per_class(counts).where("label = 'spam'").head()
     assert (spam.tp, spam.fn, spam.recall) == (2, 1, 2 / 3)
     none = E.evaluate(rows(spark, []))
-    assert none.labels == [] and values(none)["accuracy"] == 0.0 and none.roc is None
+    assert none.labels.count() == 0 and values(none)["accuracy"] == 0.0 and none.roc is None
     only_predicted = E.per_class(E.confusion_counts(pairs(spark, ("a", "z")))).where("label = 'z'").head()
     assert (only_predicted.precision, only_predicted.recall, only_predicted.f1) == (0.0, 0.0, 0.0)
 
 
 def test_confusion_tables(spark):
     result = E.evaluate(pairs(spark, ("b", "a"), ("Spam", "spam"), ("b", "a")))
-    assert result.labels == ["Spam", "a", "b", "spam"]
-    assert result.confusion.count() == 16
-    wide = reports.confusion_wide(result.counts, result.labels)
+    assert [r.label for r in result.labels.collect()] == ["Spam", "a", "b", "spam"]
+    listed = [r.label for r in result.labels.collect()]
+    assert E.dense_confusion(result.counts, listed).count() == 16
+    wide = reports.confusion_wide(result.counts, [r.label for r in result.labels.collect()])
     assert wide.columns == ["truth", "Pred: Spam", "Pred: a", "Pred: b", "Pred: spam"]
     table = {r[0]: tuple(r[1:]) for r in wide.collect()}
     assert table["True: b"] == (0, 2, 0, 0) and table["True: Spam"] == (0, 0, 0, 1)
-    assert E.evaluate(pairs(spark, ("a", "b"), ("c", "d")), max_labels=3).labels is None
+    many = E.evaluate(pairs(spark, *[(f"t{i}", f"p{i % 7}") for i in range(1005)]))
+    assert many.labels.count() == 1012 and many.counts.count() == 1005
+    assert len(reports.evaluation_dict(many)["per_class"]) == 1012
+    assert reports.evaluation_dict(many, ["t1", "p1"])["confusion_matrix"]["matrix"] == [[0, 1], [0, 0]]
 
 
 def sequential_roc(items, positive):

@@ -1,10 +1,11 @@
+import dataclasses
 import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from promptframe.operators import runlog
+from promptframe.operators import chain, inference, runlog
 from promptframe.plans import job, recipes
 from promptframe.sources.truth import prefix_map
 from promptframe.streaming import files
@@ -39,7 +40,7 @@ def test_job_from_folder_to_evaluation(spark, folder):
     documents = recipe.reader.read(spark, str(folder / "in"))
     options = dict(
         folder=str(folder / "out"), model="m", prefixes=prefix_map(spark, {"spam": "spam", "ham": "ham"}),
-        positive="spam", endpoints=["e"], rows_per_wave=3,
+        positive="spam", endpoints=["e"], rows_per_round=3,
     )
     result = job.run_job(documents, recipe, scorer, **options)
     assert [r.filename for r in result.dropped.collect()] == ["ham__3.eml"]
@@ -55,6 +56,13 @@ def test_job_from_folder_to_evaluation(spark, folder):
         job.run_job(documents, recipe, never, **options)
     again = job.run_job(documents, recipe, never, resume=True, **options)
     assert again.valid.count() == 4
+    written = {p.name for p in (folder / "out").iterdir()}
+    assert {"manifest", "shards", "submissions", "events", "export"} <= written
+    assert (folder / "out" / "export" / "evaluation.json").exists()
+    before = spark.read.parquet(str(folder / "out" / "requests")).collect()
+    with pytest.raises(ValueError, match="other settings"):
+        job.run_job(documents, recipe, never, resume=True, **{**options, "model": "other"})
+    assert spark.read.parquet(str(folder / "out" / "requests")).collect() == before
 
 
 def test_recipes(spark):
@@ -136,3 +144,48 @@ def test_run_log(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     assert log.where("timestamp is null or level is null").count() == 0
     assert dict(runlog.outcome_counts(log, ["status"]).collect()) == {"ok": 1, "failed": 1}
+
+
+def test_documents_are_transformed_once_and_repeated_ids_refused(spark, folder):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        calls.add(1)
+        return {}
+
+    recipe = dataclasses.replace(recipes.spam_recipe(), transforms=(chain.RowTransform("count", count),))
+    documents = recipe.reader.read(spark, str(folder / "in"))
+    job.run_job(documents, recipe, scorer, folder=str(folder / "one"), model="m", endpoints=["e"])
+    assert calls.value == 4
+    with pytest.raises(ValueError, match="duplicate"):
+        job.run_job(documents.unionByName(documents), recipe, scorer, folder=str(folder / "two"), model="m", endpoints=["e"])
+    assert not (folder / "two" / "records").exists()
+
+
+def test_scoring_goes_on_with_other_rounds(spark, tmp_path):
+    def chats(n):
+        return spark.range(n).select(F.col("id").alias("seq"), F.concat(F.lit("c"), "id").alias("custom_id"))
+
+    scored = spark.sparkContext.accumulator(0)
+
+    def score(df):
+        def seen(batches):
+            for b in batches:
+                scored.add(len(b))
+                yield b
+
+        return df.mapInPandas(seen, df.schema)
+
+    target = str(tmp_path / "records")
+    inference.score_resumable(chats(8), score, target, 5)
+    out = inference.score_resumable(chats(20), score, target, 10)
+    again = inference.score_resumable(chats(20), score, target, 3)
+    assert out.count() == again.select("custom_id").distinct().count() == 20 and scored.value == 20
+
+
+def test_an_endpoint_listed_twice_gets_two_shares(spark):
+    chats = spark.range(30).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("custom_id"), F.struct(F.lit(1)).alias("payload"))
+    done = inference.run_inference(chats, lambda p, e: {}, ["a", "b", "a"], 2)
+    assert dict(done.groupBy("endpoint").count().collect()) == {"a": 20, "b": 10}
+    four = inference.run_inference(chats, lambda p, e: {}, ["a", "b"], 1, shards=3)
+    assert dict(four.groupBy("endpoint").count().collect()) == {"a": 20, "b": 10}

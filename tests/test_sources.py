@@ -91,15 +91,17 @@ def test_prefix_map(spark, tmp_path):
     assert dict(truth.read_prefix_map(spark, str(tmp_path / "m.json")).collect()) == {"spam": "SPAM", "ham": "ham"}
 
 
-def test_prompts(tmp_path):
-    assert prompts.read_prompt() == prompts.DEFAULT_PROMPT
+def test_prompts(spark, tmp_path):
+    assert prompts.read_prompt(spark) == prompts.DEFAULT_PROMPT
     (tmp_path / "prompt.txt").write_text(" job \n")
     (tmp_path / "p.txt").write_text("named\n")
-    assert prompts.read_prompt(job_folder=tmp_path) == "job"
-    assert prompts.read_prompt(tmp_path / "p.txt", tmp_path) == "named"
-    assert prompts.prompt_override("inline", tmp_path / "p.txt") == "inline"
-    assert prompts.prompt_override(None, tmp_path / "p.txt") == "named"
-    assert prompts.prompt_override() is None
+    assert prompts.read_prompt(spark, job_folder=tmp_path.as_uri()) == "job"
+    assert prompts.read_prompt(spark, (tmp_path / "p.txt").as_uri(), tmp_path.as_uri()) == "named"
+    assert prompts.prompt_override(spark, "inline", str(tmp_path / "p.txt")) == "inline"
+    assert prompts.prompt_override(spark, None, str(tmp_path / "p.txt")) == "named"
+    assert prompts.prompt_override(spark) is None
+    with pytest.raises(FileNotFoundError):
+        prompts.read_prompt(spark, (tmp_path / "none.txt").as_uri())
 
 
 def test_answer_files(spark, tmp_path):
@@ -135,7 +137,7 @@ def test_step_tables(spark, tmp_path):
     again = steps.write_step(valid, str(tmp_path), "valid")
     assert again.select("custom_id", F.to_json("data")).collect() == [("a", '{"filename":"a","x":[1]}')]
     (tmp_path / "e.json").write_text(json.dumps({"per_class": [{"label": "a", "tp": 2, "fp": 0, "fn": 2}]}))
-    row = steps.read_evaluation(tmp_path / "e.json")["per_class"][0]
+    row = steps.read_evaluation(spark, (tmp_path / "e.json").as_uri())["per_class"][0]
     assert (row["support"], row["precision"], row["recall"]) == (4, 1.0, 0.5)
     for _ in range(2):
         steps.append_rows(spark.range(1), str(tmp_path / "log"))
