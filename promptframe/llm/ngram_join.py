@@ -15,13 +15,15 @@ for the band: more of them mean fewer and larger segments, with fewer chance
 matches, but a signature for every deletion. A set is also indexed in the
 bands above where a partner can be close enough.
 
-Groups. Classes that share a signature hang on the smallest one of it, so a
-signature that very many share costs one row each. The connected classes are
-compared exactly, by products of 0/1 matrices over the shingles they share; a
-group above ``BLOCK`` classes is cut into blocks, and each pair of blocks is a
-task of its own. A task returns only links that connect something new in it,
-fewer than it has classes, which leaves the components as they are. Links
-between different texts are thus never lost, and no pair list is made.
+Groups. Of the classes that share a signature, those whose sizes and parity
+sketches allow a link are connected, by fewer rows than there are classes; a
+sketch differs in at most as many bits as its set in elements, so no link is
+lost, and classes that meet by chance stay apart. The connected classes are then
+compared exactly, by products of 0/1 matrices over the shingles they share.
+Signatures and groups above a size are cut into blocks, and each pair of blocks
+is a task of its own. A task returns only links that connect something new in
+it, which leaves the components as they are. Links between different texts are
+thus never lost, and no pair list is made.
 
 Null and empty texts, and texts without words, are linked with nothing. Rows
 that repeat an id are documents of one id. A null id is no smallest id; a
@@ -47,11 +49,14 @@ from promptframe.llm.words import word_count
 from promptframe.scratch import Scratch
 
 WIDTH, PERCENT = 5, 80
-BLOCK = 512
+# Classes of a group, and shingles of them, that one side of a task's comparison takes; classes of a signature likewise.
+BLOCK, BLOCK_TOKENS, BUCKET = 512, 500_000, 2048
+# 64-bit words of the longest sketches.
+SKETCH_WORDS = 64
 # A band's largest size is this many times its smallest.
 BAND = 1.25
 # Words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 # Shingles of one product.
 COLUMNS = 4096
 
@@ -103,7 +108,7 @@ def bands(largest: int) -> list[tuple[int, int]]:
 def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int]:
     """Segments of a band, and how many of them count for two errors."""
     # |A| + |B| at most 2 * last; they differ in (1 - t) / (1 + t) of that at most.
-    errors = 2 * last * (100 - percent) // (100 + percent)
+    errors = errors_of(2 * last, percent)
     best, chosen = math.inf, (errors + 1, 0)
     twos = 0
     while 2 * twos <= errors + 1:
@@ -118,8 +123,24 @@ def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int
     return chosen
 
 
-def signatures(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[int, int]], percent: int) -> np.ndarray:
-    """The signatures of a set in its band and in those above where a partner can be close."""
+def errors_of(sizes, percent: int):
+    """In how many elements two sets of so many together may differ."""
+    return sizes * (100 - percent) // (100 + percent)
+
+
+def sketch_bits(last: int) -> int:
+    """Bits of a band's sketches, enough to tell unlike sets of its sizes apart."""
+    return 64 * min(SKETCH_WORDS, max(2, -(-last // 64)))
+
+
+def sketch(tokens: np.ndarray, bits: int) -> bytes:
+    """The parity of the elements on each bit. Sets differ in at least as many elements as their sketches in bits."""
+    odd = np.bincount((_mixed(tokens ^ _B) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def parts(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[int, int]], percent: int) -> list[tuple[int, bytes, np.ndarray]]:
+    """Band, sketch and signatures of a set, in its band and in those above where a partner can be close."""
     size = len(tokens)
     own = next(k for k, (_, last) in enumerate(limits) if size <= last)
     out = []
@@ -139,8 +160,8 @@ def signatures(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tup
         if twos:
             deleted = place < twos
             found.append(sums[place[deleted]] - value[deleted] + names[place[deleted]])
-        out.append(_mixed(np.concatenate(found)))
-    return np.unique(np.concatenate(out))
+        out.append((band, sketch(tokens, sketch_bits(limits[band][1])), np.unique(_mixed(np.concatenate(found)))))
+    return out
 
 
 def _class_key(tokens: np.ndarray) -> tuple[int, int]:
@@ -153,8 +174,11 @@ def _doc(doc_id: str, text: str) -> Column:
     return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text"))
 
 
+_PARTS = "array<struct<band:int,sketch:binary,signatures:array<bigint>>>"
+
+
 def sized(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """``doc, size, c1, c2, signatures`` of every row."""
+    """``doc, size, c1, c2, parts`` of every row."""
     # How many sets a band may have, from word counts: a text has at most one shingle a word.
     band = F.floor(F.log(F.greatest(word_count(F.col(text)), F.lit(1))) / math.log(BAND)).cast("int")
     counts = {r["band"]: r["count"] for r in docs.groupBy(band.alias("band")).count().collect()}
@@ -169,26 +193,120 @@ def sized(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) ->
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes, keys, found = [], [], []
+                sizes, keys, found, counts = [], [], [], []
                 for one in part.column(1):
                     tokens = shingles(one.as_py(), hashes, width)
+                    own = parts(tokens, limits, plan, percent) if len(tokens) else []
                     sizes.append(len(tokens))
                     keys.append(_class_key(tokens))
-                    found.append(signatures(tokens, limits, plan, percent).view(np.int64) if len(tokens) else np.zeros(0, np.int64))
-                ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in found])]), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found)))
+                    counts.append(len(own))
+                    found += own
+                numbers = [x[2].view(np.int64) for x in found]
+                inner = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum([len(x) for x in numbers])]), pa.int32()),
+                    pa.array(np.concatenate(numbers) if numbers else np.zeros(0, np.int64)),
+                )
+                fields = [pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.binary()), inner]
+                each = pa.StructArray.from_arrays(fields, ["band", "sketch", "signatures"])
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), each)
                 c1, c2 = (pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), c1, c2, lists], names=["doc", "size", "c1", "c2", "signatures"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), c1, c2, lists], names=["doc", "size", "c1", "c2", "parts"])
 
     kind = plain.schema["doc"].dataType.simpleString()
-    return plain.mapInArrow(rows, f"doc {kind}, size long, c1 long, c2 long, signatures array<long>")
+    return plain.mapInArrow(rows, f"doc {kind}, size long, c1 long, c2 long, parts {_PARTS}")
+
+
+def alike(sketches: list[bytes], sizes: list[int], percent: int, left: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose sizes and sketches allow a link.
+
+    Pairs are of one of the first ``left`` with one of the others, or, where
+    ``left`` is all, of any two. Pairs that are connected already are not
+    looked at, so a group of copies takes time in proportion to its size.
+    """
+    n = len(sketches)
+    bits = np.frombuffer(b"".join(sketches), np.uint64).reshape(n, -1)
+    size = np.array(sizes, np.int64)
+    lead = np.arange(n)  # of the component; kept flat
+    out = []
+    for x in range(left if left < n else n - 1):
+        later = np.arange(left if left < n else x + 1, n)
+        later = later[lead[later] != lead[x]]
+        if not len(later):
+            continue
+        a, b = np.minimum(size[later], size[x]), np.maximum(size[later], size[x])
+        differ = np.bitwise_count(bits[later] ^ bits[x]).sum(axis=1, dtype=np.int64)
+        for y in later[(100 * a >= percent * b) & (differ <= errors_of(a + b, percent))].tolist():
+            if lead[x] != lead[y]:
+                out.append((x, y))
+                lead[lead == lead[y]] = lead[x]
+    return out
+
 
+def _tiled(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows with ``block`` of ``blocks`` of their group, once for every pair ``i, j`` of blocks they are in, side by side in tasks."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    kept = [c for c in df.columns if c not in ("block", "blocks")]
+    tiles = df.select(*kept, "block", other).select(
+        *kept,
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        (F.col("block") <= F.col("other")).alias("left"),
+    )
+    return tiles.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j")
+
+
+def _by_tile(solved, keys: list[str], columns: list[str]):
+    """A step over batches of :func:`_tiled` rows that gives each tile's rows to ``solved(key, rows)``, which returns links."""
+    kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, key, rows = [], None, []
+
+        def batch_of(found):
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], schema=kind)
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """``a, b``: every class that shares a signature, with the smallest class of that signature."""
-    each = classes.select("node", F.explode("signatures").alias("s"))
-    shared = each.groupBy("s").agg(F.count("*").alias("n"), F.min("node").alias("lead")).filter("n > 1").select("s", "lead")
-    return each.join(shared, "s").filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+        for batch in batches:
+            own = zip(*[batch.column(c).to_pylist() for c in keys])
+            for now, row in zip(own, zip(*[batch.column(c).to_pylist() for c in columns])):
+                if now != key:
+                    if len(rows) > 1:
+                        found += solved(key, rows)
+                    key, rows = now, []
+                rows.append(row)
+            if found:
+                yield batch_of(found)
+                found = []
+        if len(rows) > 1:
+            found = solved(key, rows)
+        if found:
+            yield batch_of(found)
+
+    return run
+
+
+def candidates(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: a forest, for every signature, of the classes that share it and may link."""
+    each = classes.select("node", F.inline("parts")).select("node", "band", F.explode("signatures").alias("s"))
+    shared = each.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
+    # Stored, so that both sides of the join are plain shuffles and a common signature can be split.
+    shared = scratch.store(shared, "shared")
+    members = scratch.store(each.join(shared, "s").select("s", "node", "band", "n"), "members")
+    sketches = classes.select("node", "size", F.inline("parts")).select("node", "band", "size", "sketch")
+    blocks = F.ceil(F.col("n") / BUCKET).cast("int")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rows = members.join(sketches, ["node", "band"]).withColumn("blocks", blocks).withColumn("block", block)
+    near = _tiled(rows.select("s", "node", "size", "sketch", "block", "blocks"), ["s"])
+
+    def solved(key: tuple[int, int, int], rows: list[tuple[int, int, bytes, bool]]) -> list[tuple[int, int]]:
+        if key[1] != key[2]:
+            rows = sorted(rows, key=lambda r: not r[3])
+        left = len(rows) if key[1] == key[2] else sum(r[3] for r in rows)
+        if not left:
+            return []
+        return [(rows[x][0], rows[y][0]) for x, y in alike([r[2] for r in rows], [r[1] for r in rows], percent, left)]
+
+    step = _by_tile(solved, ["s", "i", "j"], ["node", "size", "sketch", "left"])
+    return near.mapInArrow(step, "a long, b long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -268,41 +386,22 @@ def forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of a spanning forest of the links in each task's pair of blocks."""
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = sets.select("node", "grp", "block", other.alias("other"), "tokens").select(
-        "node", "grp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") <= F.col("other")).alias("left"), "tokens"
-    )
-    near = tiles.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solved(key: tuple[int, int, int], rows: list[tuple[int, bool, bytes]]) -> list[tuple[int, int]]:
-            one = key[1] == key[2]
-            sides = [[r for r in rows if one or r[1] == side] for side in (True, False)]
-            if not all(sides):
-                return []
-            left, right = ([np.frombuffer(r[2], np.uint64) for r in side] for side in sides)
-            inside = common(left, right) if not one else common(left, left)
-            a, b = (np.array([len(x) for x in side], np.int64) for side in (left, right))
-            linked = 100 * inside >= percent * (a[:, None] + b - inside)
-            ids = [[r[0] for r in side] for side in sides]
-            pairs = ((ids[0][x], ids[1][y]) for x, y in zip(*(z.tolist() for z in np.nonzero(linked))) if not one or x < y)
-            return forest(pairs)
 
-        found, key, rows = [], None, []
-        for batch in batches:
-            for grp, i, j, node, left, tokens in zip(*[batch.column(c).to_pylist() for c in ("grp", "i", "j", "node", "left", "tokens")]):
-                if (grp, i, j) != key:
-                    if rows:
-                        found += solved(key, rows)
-                    key, rows = (grp, i, j), []
-                rows.append((node, left, tokens))
-            if found:
-                yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-                found = []
-        if rows and (found := solved(key, rows)):
-            yield pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in found], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    def solved(key: tuple[int, int, int], rows: list[tuple[int, bool, bytes]]) -> list[tuple[int, int]]:
+        one = key[1] == key[2]
+        sides = [[r for r in rows if one or r[1] == side] for side in (True, False)]
+        if not all(sides):
+            return []
+        left, right = ([np.frombuffer(r[2], np.uint64) for r in side] for side in sides)
+        inside = common(left, right)
+        a, b = (np.array([len(x) for x in side], np.int64) for side in (left, right))
+        linked = 100 * inside >= percent * (a[:, None] + b - inside)
+        ids = [[r[0] for r in side] for side in sides]
+        pairs = ((ids[0][x], ids[1][y]) for x, y in zip(*(z.tolist() for z in np.nonzero(linked))) if not one or x < y)
+        return forest(pairs)
 
-    return near.mapInArrow(compare, "a long, b long")
+    step = _by_tile(solved, ["grp", "i", "j"], ["node", "left", "tokens"])
+    return _tiled(sets, ["grp"]).mapInArrow(step, "a long, b long")
 
 
 def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -311,14 +410,16 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     ``component`` names the group; groups of one id, which several rows hold, have one ``component_id``.
     """
     rows = scratch.store(sized(docs, doc_id, text, width, percent), "rows")
-    one = rows.filter("size > 0").groupBy("c1", "c2").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("signatures").alias("signatures"))
+    one = rows.filter("size > 0").groupBy("c1", "c2").agg(F.min("doc").alias("doc"), F.first("size").alias("size"), F.first("parts").alias("parts"))
     classes = scratch.store(one.withColumn("node", F.monotonically_increasing_id()), "classes")
     rows_slim = scratch.store(rows.select("doc", "size", "c1", "c2"), "slim")
     scratch.drop("rows")
-    near = connected(scratch, candidates(classes), "near")
-    grouped = scratch.store(near.select("node", F.col("component").alias("grp")), "grouped")
-    sizes = grouped.groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    near = connected(scratch, candidates(scratch, classes, percent), "near")
+    near = near.select("node", F.col("component").alias("grp"))
+    grouped = scratch.store(near.join(classes.select("node", "size"), "node"), "grouped")
+    sizes = scratch.store(grouped.groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("n"), F.sum("size").alias("all")), "sizes")
+    # A block has so many classes, and so many shingles, at most about.
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("all") / BLOCK_TOKENS)).cast("int")
     place = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = grouped.join(sizes, F.col("grp") == F.col("g")).withColumn("blocks", blocks).select("node", "grp", place.alias("block"), "blocks")
     wanted = classes.select("node", "doc", "c1", "c2").join(dealt, "node")
@@ -331,7 +432,7 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     known = of_class.join(smallest, "component").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "component", "component_id")
     known = scratch.store(known, "known")
     same = (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")) & (F.col("size") > 0)
-    scratch.drop("sets", "classes", "grouped")
+    scratch.drop("sets", "classes", "grouped", "sizes", "shared", "members")
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc.id"))
     return rows_slim.join(known, same, "left").select("doc", "size", "component", own.alias("component_id"))
 

@@ -206,6 +206,7 @@ def edited(rnd, words, edits):
 @pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
 def test_join_odd_rows(spark, monkeypatch, block, width, percent):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BUCKET", block)
     rnd = random.Random(block + percent)
     base = [f"w{rnd.randrange(300)}" for _ in range(150)]
     rows = [(i, t) for i, t, *_ in frames.TEXTS]
@@ -249,8 +250,10 @@ def test_close_sets_share_a_signature_under_every_allocation(percent):
             b = np.unique(np.concatenate([a[drop:], more]))
             inside = len(np.intersect1d(a, b))
             if len(b) and 100 * inside >= percent * (len(a) + len(b) - inside):
-                one, two = (set(ngram_join.signatures(x, limits, plan, percent).tolist()) for x in (a, b))
-                assert one & two
+                one, two = ({(k, s): d for k, d, own in ngram_join.parts(x, limits, plan, percent) for s in own.tolist()} for x in (a, b))
+                assert one.keys() & two.keys()
+                for key in one.keys() & two.keys():
+                    assert ngram_join.alike([one[key], two[key]], [len(a), len(b)], percent, 2) == [(0, 1)]
 
 
 def test_common_counts_and_forest():
