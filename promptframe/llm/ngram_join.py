@@ -51,6 +51,8 @@ from promptframe.scratch import Scratch
 WIDTH, PERCENT = 5, 80
 # Classes of a group, and shingles of them, that one side of a task's comparison takes; classes of a signature likewise.
 BLOCK, BLOCK_TOKENS, BUCKET = 512, 500_000, 2048
+# What it costs to tell by their sketches that two sets met by chance, in signatures.
+MEETING = 0.05
 # 64-bit words of the longest sketches.
 SKETCH_WORDS = 64
 # A band's largest size is this many times its smallest.
@@ -117,8 +119,9 @@ def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int
         held = first / segments
         signatures = sets * (ones + twos * (1 + held))
         chance = sets * sets / 2 * (ones * math.exp(-2 * held) + twos * ((1 + held) * math.exp(-held)) ** 2)
-        if signatures + chance < best:
-            best, chosen = signatures + chance, (segments, twos)
+        cost = signatures + MEETING * chance
+        if cost < best:
+            best, chosen = cost, (segments, twos)
         twos = twos * 2 or 1
     return chosen
 
