@@ -408,7 +408,7 @@ def confusion_wide(spark: SparkSession, folder: str) -> DataFrame:
     listed, counts = _labels_and_counts(spark, folder)
     wide = reports.confusion_wide(counts, listed)
     # DuckDB does not tell column names that differ in case apart.
-    return wide.withColumnsRenamed({"Pred: spam": "Pred: spam_"})
+    return wide.toDF(*[f"{c}_" if c == "Pred: spam" else c for c in wide.columns])
 
 
 def per_class(spark: SparkSession, folder: str) -> DataFrame:
