@@ -14,7 +14,7 @@ from promptframe.functions.text import (
     token_estimate,
 )
 from promptframe.operators import chain, evaluate, inference, ordering, render, reports, runlog, sharding, truth, validate
-from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT
+from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT, contract_from_json_schema
 from promptframe.plans import job, recipes
 from promptframe.session import durable
 from promptframe.sources.documents import accepts_mail_name
@@ -360,6 +360,38 @@ def nested_contract(spark: SparkSession, folder: str) -> DataFrame:
     return validate.validate_outputs(lines, PII_CONTRACT).select("custom_id", "status", "message")
 
 
+WIDE_SCHEMA = {
+    "title": "WideAnswer",
+    "type": "object",
+    "additionalProperties": False,
+    "required": ["code", "share", "step", "name", "day", "tags", "mixed"],
+    "properties": {
+        "code": {"enum": [1, 2, 3], "type": "integer"},
+        "share": {"type": "number", "exclusiveMinimum": 0, "exclusiveMaximum": 1},
+        "step": {"type": "integer", "minimum": 0, "maximum": 100, "multipleOf": 5},
+        "name": {"type": "string", "minLength": 2, "maxLength": 4, "pattern": "^[a-z]+$"},
+        "day": {"type": "string", "format": "date"},
+        "tags": {"type": "array", "items": {"type": "string"}, "minItems": 1, "maxItems": 2, "uniqueItems": True},
+        "mixed": {"anyOf": [{"type": "integer", "minimum": 10}, {"type": "array", "items": {"type": "number"}}, {"type": "null"}]},
+    },
+}
+
+
+def wide_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rule of a schema, broken by one kind of answer each."""
+    good = {"code": "2", "share": "0.5", "step": "15", "name": '"abc"', "day": '"2024-02-29"', "tags": '["a","b"]', "mixed": "12"}
+    odd = [
+        {}, {"code": "4"}, {"code": '"2"'}, {"share": "0"}, {"share": "1.0"}, {"step": "7"}, {"step": "-5"}, {"step": "105"},
+        {"name": '"a"'}, {"name": '"abcde"'}, {"name": '"aB"'}, {"day": '"2024-13-01"'}, {"tags": "[]"}, {"tags": '["a","b","c"]'},
+        {"tags": '["a","a"]'}, {"tags": "[1]"}, {"mixed": "9"}, {"mixed": '["x"]'}, {"mixed": "[1,2.5]"}, {"mixed": "null"},
+    ]
+    texts = ["{" + ",".join(f'"{k}":{v}' for k, v in {**good, **o}.items()) + "}" for o in odd]
+    answer = F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("doc_id") % len(texts) + 1).cast("int"))
+    lines = C.corpus(spark, folder).select("custom_id", answer.alias("raw_text"))
+    lines = lines.withColumns({"error": F.lit(None).cast("string"), "malformed": F.lit(False)})
+    return validate.validate_outputs(lines, contract_from_json_schema(WIDE_SCHEMA)).select("custom_id", "status")
+
+
 # Ground truth and evaluation
 
 
@@ -537,7 +569,7 @@ QUERIES = {
         request_violations, request_summary, duplicate_ids,
         ordinals, shards_by_count, shards_by_bytes, review,
         responses, usage, submissions, scored_requests,
-        output_texts, statuses, validation_counts, free_form, nested_contract,
+        output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract,
         truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary,
         raw_predictions, roc, auc, result_columns, results,
         stage_stats, histogram, counters, status_changes, state_age, progress,

@@ -236,6 +236,8 @@ ORACLES = {
         WHEN doc_id % 10 = 8 THEN 'Schema validation error: answer: not an object'
         WHEN doc_id % 10 = 9 THEN 'Schema validation error: confidence: expected number >= 0.0 <= 1.0' END AS message
       FROM corpus""",
+    "wide_contract": f"""WITH {_CORPUS} SELECT custom_id,
+      CASE WHEN doc_id % 20 IN (0, 18, 19) THEN 'valid' ELSE 'invalid' END AS status FROM corpus""",
     "truth_labels": f"WITH {_TRUTH} SELECT filename, label FROM truth",
     "truth_prefix": f"WITH {_CORPUS} SELECT custom_id, {_PREFIX} AS by_prefix FROM corpus",
     "predictions": f"{_EVAL} SELECT custom_id, ground_truth, predicted, confidence FROM predicted",

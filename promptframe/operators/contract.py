@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,17 +47,26 @@ _REQUIRED = object()
 class Field:
     """One member of an answer object.
 
-    ``type`` is string, number, integer, boolean, array, object or any;
-    ``items`` describes array elements, ``members`` a nested object.
+    ``type`` is string, number, integer, boolean, array, object, any or union;
+    ``items`` describes array elements, ``members`` a nested object, ``options``
+    what a union may be. Lengths are those of texts or arrays.
     """
 
     name: str
     type: str
     default: object = _REQUIRED
-    enum: tuple[str, ...] = ()
+    enum: tuple = ()
     ge: float | None = None
     le: float | None = None
+    gt: float | None = None
+    lt: float | None = None
+    multiple_of: float | None = None
     min_length: int | None = None
+    max_length: int | None = None
+    pattern: str | None = None
+    format: str | None = None
+    unique: bool = False
+    options: tuple[Field, ...] = ()
     nullable: bool = False
     items: Field | None = None
     members: Contract | None = None
@@ -130,21 +140,47 @@ class Contract:
 
 # JSON schema
 
+_NUMBER_RULES = {"minimum": "ge", "maximum": "le", "exclusiveMinimum": "gt", "exclusiveMaximum": "lt", "multipleOf": "multiple_of"}
+# The rules of each type: JSON-schema keyword and field.
+_RULES = {
+    "string": {"minLength": "min_length", "maxLength": "max_length", "pattern": "pattern", "format": "format"},
+    "number": _NUMBER_RULES,
+    "integer": _NUMBER_RULES,
+    "array": {"minItems": "min_length", "maxItems": "max_length", "uniqueItems": "unique"},
+    "boolean": {},
+    "object": {},
+    "any": {},
+    "union": {},
+}
+# The formats of texts that are checked.
+FORMATS = {
+    "date": r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$",
+    "date-time": r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])[Tt ]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?([Zz]|[+-]\d{2}:?\d{2})?$",
+    "email": r"^[^\s@]+@[^\s@]+\.[^\s@]+$",
+    "uuid": r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    "uri": r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$",
+}
+# Keywords that name or explain, and those that the compiler reads itself.
+_NOTES = {"title", "description", "default", "examples", "$defs", "$schema", "$id", "deprecated", "readOnly", "writeOnly"}
+_READ = {"type", "enum", "const", "anyOf", "oneOf", "$ref", "properties", "required", "additionalProperties", "items"}
+
 
 def _field_schema(f: Field) -> dict:
     if f.type == "object" and f.members:
         schema = f.members.json_schema()
+    elif f.type == "union":
+        schema = {"anyOf": [_field_schema(o) for o in f.options]}
     else:
         schema = {} if f.type == "any" else {"type": f.type}
     if f.items:
         schema["items"] = _field_schema(f.items)
     if f.enum:
         schema["enum"] = list(f.enum)
-    for keyword, bound in (("minimum", f.ge), ("maximum", f.le), ("minLength", f.min_length)):
-        if bound is not None:
+    for keyword, attribute in _RULES[f.type].items():
+        if (bound := getattr(f, attribute)) not in (None, False):
             schema[keyword] = bound
     if f.nullable:
-        schema = {"anyOf": [schema, {"type": "null"}]}
+        schema = {"anyOf": [*(schema["anyOf"] if f.type == "union" else [schema]), {"type": "null"}]}
     if f.description:
         schema["description"] = f.description
     if not f.required and f.default is not None:
@@ -186,8 +222,19 @@ def sanitise_json_schema(schema: dict) -> dict:
     return _map_schema(schema, lambda s: {k: v for k, v in s.items() if k not in UNSUPPORTED_KEYWORDS})
 
 
+def _kind_of_values(values: tuple) -> str:
+    """The type of enumerated values where a schema names none."""
+    kinds = {"boolean" if isinstance(v, bool) else "string" if isinstance(v, str) else "number" for v in values}
+    if len(kinds) > 1:
+        raise ValueError(f"values of several types: {values}")
+    return next(iter(kinds), "any")
+
+
 def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract:
-    """A contract from a JSON schema with ``$defs`` references and nullable unions."""
+    """A contract from a JSON schema with ``$defs`` references and unions.
+
+    A keyword that is not enforced is an error, never left out in silence.
+    """
     defs = schema.get("$defs", {})
 
     def follow(s: dict) -> dict:
@@ -198,29 +245,39 @@ def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract
     def as_field(key: str, s: dict, required: bool) -> Field:
         default = s.get("default")
         s = follow(s)
-        choices = [follow(c) for c in s.get("anyOf", [])]
+        if isinstance(s.get("type"), list):
+            s = {"anyOf": [{**{k: v for k, v in s.items() if k != "type"}, "type": t} for t in s["type"]]}
+        choices = [follow(c) for c in s.get("anyOf") or s.get("oneOf") or []]
+        beside = set(s) - _NOTES - {"anyOf", "oneOf"}
+        if choices and beside:
+            raise ValueError(f"{key}: {sorted(beside)} beside a union is not supported")
         nullable = any(c.get("type") == "null" for c in choices)
         solid = [c for c in choices if c.get("type") != "null"]
-        if len(solid) == 1:
-            s = solid[0]
-        elif solid:
-            s = {}
-        kind_name = s.get("type", "any")
-        enum = s.get("enum") or ([s["const"]] if "const" in s else [])
+        common = {"default": _REQUIRED if required else default, "nullable": nullable}
+        if len(solid) > 1:
+            return Field(key, "union", options=tuple(as_field("", c, True) for c in solid), **common)
+        s = solid[0] if solid else s
+        enum = tuple(s["enum"] if "enum" in s else [s["const"]] if "const" in s else [])
+        kind_name = s.get("type") or _kind_of_values(enum)
+        if kind_name not in _RULES:
+            raise ValueError(f"{key}: type {kind_name} is not supported")
+        unknown = set(s) - _NOTES - _READ - set(_RULES[kind_name])
+        if unknown or s.get("format", "date") not in FORMATS:
+            raise ValueError(f"{key}: {sorted(unknown) or s['format']} is not supported for {kind_name}")
         return Field(
             key,
             kind_name,
-            default=_REQUIRED if required else default,
-            enum=tuple(enum),
-            ge=s.get("minimum"),
-            le=s.get("maximum"),
-            min_length=s.get("minLength"),
-            nullable=nullable,
+            enum=enum,
             items=as_field("", s["items"], True) if s.get("items") else None,
             members=as_contract(s, key) if kind_name == "object" and "properties" in s else None,
+            **common,
+            **{attribute: s[keyword] for keyword, attribute in _RULES[kind_name].items() if keyword in s},
         )
 
     def as_contract(s: dict, title: str) -> Contract:
+        unknown = set(s) - _NOTES - _READ
+        if unknown:
+            raise ValueError(f"{title}: {sorted(unknown)} is not supported")
         required = s.get("required", [])
         fields = tuple(as_field(k, p, k in required) for k, p in s.get("properties", {}).items())
         return Contract(s.get("title", title), fields, s.get("additionalProperties") is False)
@@ -242,7 +299,14 @@ def _scalar_fits(f: Field, value: Column, kind_of: Column) -> Column:
             ok = ok & text.isin(list(f.enum))
         if f.min_length is not None:
             ok = ok & (F.length(text) >= f.min_length)
+        if f.max_length is not None:
+            ok = ok & (F.length(text) <= f.max_length)
+        for pattern in (f.pattern, FORMATS.get(f.format)):
+            if pattern is not None:
+                ok = ok & text.rlike(pattern)
         return ok
+    if f.type == "boolean" and f.enum:
+        return is_boolean & F.try_variant_get(value, "$", "boolean").isin(list(f.enum))
     if f.type == "boolean":
         text_ok = F.lower(as_string(value)).isin(BOOLEAN_TEXTS)
         number_ok = F.try_variant_get(value, "$", "double").isin([0.0, 1.0])
@@ -256,12 +320,22 @@ def _scalar_fits(f: Field, value: Column, kind_of: Column) -> Column:
             is_text, strip(as_string(value)).rlike(r"^[+-]?\d+(_\d+)*(\.0+)?$")
         ).otherwise(number % 1 == 0)
         ok = ok & whole
+    if f.enum:
+        # Enumerated numbers are not read from texts or booleans.
+        ok = ok & is_number & number.isin([float(v) for v in f.enum])
+    if f.multiple_of is not None:
+        times = number / F.lit(float(f.multiple_of))
+        ok = ok & (F.abs(times - F.rint(times)) < 1e-9)
     if f.ge is not None:
         ok = ok & (number >= F.lit(float(f.ge)))
+    if f.gt is not None:
+        ok = ok & (number > F.lit(float(f.gt)))
+    if f.lt is not None:
+        ok = ok & (number < F.lit(float(f.lt)))
     if f.le is not None:
         # NaN is above every number, so it fails an upper bound but has to be refused by a lower one.
         ok = ok & (number <= F.lit(float(f.le)))
-    if f.ge is not None and f.le is None:
+    if (f.ge is not None or f.gt is not None) and f.le is None and f.lt is None:
         ok = ok & ~F.isnan(number)
     return ok
 
@@ -278,6 +352,12 @@ def _fits(f: Field, value: Column, kind_of: Column | None = None) -> Column:
             ok = ok & F.forall(elements, lambda e: _fits(f.items, e))
         if f.min_length is not None:
             ok = ok & (F.size(elements) >= f.min_length)
+        if f.max_length is not None:
+            ok = ok & (F.size(elements) <= f.max_length)
+        if f.unique:
+            ok = ok & (F.size(F.array_distinct(F.transform(elements, lambda e: F.to_json(e)))) == F.size(elements))
+    elif f.type == "union":
+        ok = reduce(lambda a, b: a | b, [_fits(o, value, kind_of) for o in f.options])
     elif f.type == "object":
         ok = _fits_object(f.members, value) if f.members else kind_of.startswith("OBJECT")
     else:
@@ -312,8 +392,11 @@ def _fits_object(contract: Contract, value: Column, members: list[_Member] | Non
 
 def _expectation(f: Field) -> str:
     limits = [f"in {list(f.enum)}"] if f.enum else []
-    limits += [f"{sign} {bound}" for sign, bound in ((">=", f.ge), ("<=", f.le)) if bound is not None]
-    limits += [f"length >= {f.min_length}"] if f.min_length is not None else []
+    signs = ((">=", f.ge), ("<=", f.le), (">", f.gt), ("<", f.lt), ("multiple of", f.multiple_of))
+    signs += (("length >=", f.min_length), ("length <=", f.max_length), ("matching", f.pattern), ("as", f.format))
+    limits += [f"{sign} {bound}" for sign, bound in signs if bound is not None]
+    limits += ["unique"] if f.unique else []
+    limits += [" or ".join(_expectation(o) for o in f.options)] if f.options else []
     return " ".join([f.type, *limits])
 
 

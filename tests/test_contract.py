@@ -158,3 +158,34 @@ def test_contract_from_pydantic_schema(spark):
     ]
     assert contract.name == "Answer" and not contract.forbid_extra
     assert accepted(spark, contract, texts) == pydantic_accepts(Answer, texts)
+
+
+def test_every_rule_of_a_schema_equals_pydantic(spark):
+    pydantic = pytest.importorskip("pydantic")
+    schema = lambda rule: {"properties": {"v": rule}, "required": ["v"]}
+    kinds = [
+        ({"type": "number", "exclusiveMinimum": 0, "exclusiveMaximum": 1}, pydantic.confloat(gt=0, lt=1)),
+        ({"type": "integer", "multipleOf": 2}, pydantic.conint(multiple_of=2)),
+        ({"type": "string", "maxLength": 2}, pydantic.constr(max_length=2)),
+        ({"type": "string", "pattern": "^[a-z]+$"}, pydantic.constr(pattern="^[a-z]+$")),
+        ({"type": "array", "items": {"type": "string"}, "minItems": 1, "maxItems": 1}, pydantic.conlist(str, min_length=1, max_length=1)),
+        ({"enum": [1, 2, 3]}, Literal[1, 2, 3]),
+    ]
+    texts = [f'{{"v":{x}}}' for x in SCALARS if x not in ('"nan"', '"NaN"')] + ['{"v":["a","b"]}']
+    for rule, kind in kinds:
+        model = pydantic.create_model("M", v=(kind, ...))
+        own = texts if "enum" not in rule else [t for t in texts if t not in ('{"v":1.0}', '{"v":3.0}', '{"v":true}')]
+        assert accepted(spark, contract_from_json_schema(schema(rule)), own) == pydantic_accepts(model, own), rule
+
+
+def test_rules_that_are_not_enforced_are_errors():
+    for rule in ({"type": "string", "contentEncoding": "x"}, {"type": "string", "format": "ipv4"}, {"allOf": [{"type": "string"}]},
+                 {"anyOf": [{"type": "string"}, {"type": "integer"}], "minLength": 1}, {"type": "string", "minimum": 1}):
+        with pytest.raises(ValueError, match="not supported"):
+            contract_from_json_schema({"properties": {"v": rule}})
+
+
+def test_array_bounds_keep_their_keywords():
+    rule = {"type": "array", "items": {"type": "string"}, "minItems": 1, "maxItems": 3, "uniqueItems": True}
+    made = contract_from_json_schema({"properties": {"v": rule}, "required": ["v"]}).json_schema()
+    assert made["properties"]["v"] == rule
