@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptframe.functions.answers import as_string, member, parse_whole
@@ -13,6 +13,8 @@ from promptframe.functions.text import strip
 NO_ANSWERS = ["errors.jsonl", "status_history.jsonl"]
 
 _PARTS = "array<struct<role:variant,content:array<variant>>>"
+_CONTENT = "array<struct<type:string,text:string>>"
+_TYPED_PARTS = f"array<struct<role:string,content:{_CONTENT}>>"
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -45,42 +47,58 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
     strings become ``input_text`` parts.
     """
     rows = compute_once(lines, _v=parse_whole(F.col(line)))
-    body = member(F.col("_v"), "body")
-    text_format = member(member(body, "text"), "format")
+    v = F.col("_v")
+
+    def text(path: str) -> Column:
+        return F.try_variant_get(v, path, "string")
+
+    def variant(path: str) -> Column:
+        return F.try_variant_get(v, path, "variant")
+
+    def item(role: Column, content: Column) -> Column:
+        return F.struct(F.coalesce(role, F.lit("user")).alias("role"), content.alias("content"))
+
+    def part(kind: Column, value: Column) -> Column:
+        return F.struct(kind.alias("type"), F.coalesce(value, F.lit("")).alias("text"))
 
-    def part(p):
+    # Records as they should be take one typed read; only others are read member by member.
+    typed = F.transform(
+        F.try_variant_get(v, "$.body.input", _TYPED_PARTS),
+        lambda i: item(
+            i["role"],
+            F.transform(F.coalesce(i["content"], F.array().cast(_CONTENT)), lambda p: part(p["type"], p["text"])),
+        ),
+    )
+
+    def loose_part(p: Column) -> Column:
         bare = F.schema_of_variant(p) == "STRING"
-        return F.struct(
-            F.when(bare, F.lit("input_text")).otherwise(as_string(member(p, "type"))).alias("type"),
-            F.when(bare, as_string(p)).otherwise(F.coalesce(as_string(member(p, "text")), F.lit(""))).alias("text"),
-        )
-
-    items = F.transform(
-        F.try_variant_get(body, "$.input", _PARTS),
-        lambda i: F.struct(
-            F.coalesce(as_string(i["role"]), F.lit("user")).alias("role"),
-            F.transform(F.coalesce(i["content"], F.array().cast("array<variant>")), part).alias("content"),
+        kind = F.when(bare, F.lit("input_text")).otherwise(as_string(member(p, "type")))
+        return part(kind, F.when(bare, as_string(p)).otherwise(as_string(member(p, "text"))))
+
+    loose = F.transform(
+        F.try_variant_get(v, "$.body.input", _PARTS),
+        lambda i: item(
+            as_string(i["role"]), F.transform(F.coalesce(i["content"], F.array().cast("array<variant>")), loose_part)
         ),
     )
     fmt = F.when(
-        text_format.isNotNull(),
+        variant("$.body.text.format").isNotNull(),
         F.struct(
-            as_string(member(text_format, "type")).alias("type"),
-            as_string(member(text_format, "name")).alias("name"),
-            F.to_json(member(text_format, "schema")).alias("schema"),
-            F.try_variant_get(text_format, "$.strict", "boolean").alias("strict"),
+            text("$.body.text.format.type").alias("type"),
+            text("$.body.text.format.name").alias("name"),
+            F.to_json(variant("$.body.text.format.schema")).alias("schema"),
+            F.try_variant_get(v, "$.body.text.format.strict", "boolean").alias("strict"),
         ),
     )
-    v = F.col("_v")
     return rows.select(
         *lines.columns,
-        as_string(member(v, "custom_id")).alias("custom_id"),
-        as_string(member(v, "method")).alias("method"),
-        as_string(member(v, "url")).alias("url"),
+        text("$.custom_id").alias("custom_id"),
+        text("$.method").alias("method"),
+        text("$.url").alias("url"),
         F.struct(
-            as_string(member(body, "model")).alias("model"),
-            as_string(member(body, "instructions")).alias("instructions"),
-            items.alias("input"),
+            text("$.body.model").alias("model"),
+            text("$.body.instructions").alias("instructions"),
+            F.coalesce(typed, loose).alias("input"),
             F.struct(fmt.alias("format")).alias("text"),
         ).alias("body"),
         v.isNull().alias("malformed"),
