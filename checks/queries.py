@@ -52,6 +52,34 @@ def emails(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SUFFIXES = [
+    "", ".EML", ".txt", ".msg", ".unknown", ".jpg", ".jpeg", ".png", ".gif", ".bmp", ".tiff", ".webp", ".PDF", ".doc", ".docx",
+    ".xls", ".xlsx", ".ppt", ".pptx", ".zip", ".gz", ".tar", ".bz2", ".7z", ".rar", ".mp3", ".mp4", ".avi", ".mov", ".wav",
+    ".exe", ".dll", ".so", ".dylib", ".py", ".js", ".ts", ".css", ".html", ".json", ".xml", ".csv", ".toml", ".yaml", ".yml",
+    ".ini", ".cfg", ".conf", ".md", ".rst", ".log",
+]
+
+
+def all_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    ends = F.element_at(F.array(*[F.lit(x) for x in SUFFIXES]), (F.col("doc_id") % len(SUFFIXES) + 1).cast("int"))
+    names = C.table(spark, folder, "documents").select("doc_id", F.concat(F.lit("f"), ends).alias("name"))
+    return names.select("doc_id", accepts_mail_name("name").alias("accepted"))
+
+
+PHRASES = [
+    "Out of Office: x", "Automatic reply", "an AUTO-REPLY", "autoreply", "Delivery Status Notification (Failure)",
+    "Undeliverable: y", "vacation reply", "plain",
+]
+
+
+def all_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    subject = F.element_at(F.array(*[F.lit(x) for x in PHRASES]), (F.col("doc_id") % len(PHRASES) + 1).cast("int"))
+    docs = C.table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("custom_id"), F.create_map(F.lit("Subject"), subject).alias("headers")
+    )
+    return chain.drop_audit(chain.mark_rejects(docs, [chain.auto_reply_filter()]))
+
+
 def _marked(spark: SparkSession, folder: str) -> DataFrame:
     filters = [chain.empty_body_filter(), chain.min_length_filter(), chain.auto_reply_filter()]
     return chain.mark_rejects(C.corpus(spark, folder), filters)
@@ -452,18 +480,27 @@ def summary(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.summary(evaluate.per_class(_counts(spark, folder))).select("metric", six("value"))
 
 
+def summary_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of two classes with its AUC row."""
+    rows = _labelled(spark, folder).withColumn("predicted", F.when(F.col("confidence") >= 0.5, "spam").otherwise("ham"))
+    return evaluate.evaluate(rows, "spam").summary.select("metric", six("value"))
+
+
 def raw_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return reports.prediction_table(_predictions(spark, folder), SPAM_CONTRACT)
 
 
-def _roc_steps(spark: SparkSession, folder: str) -> DataFrame:
+def _labelled(spark: SparkSession, folder: str) -> DataFrame:
     docs = C.table(spark, folder, "documents").select("doc_id", "n_chars", C.custom_id().alias("custom_id"))
-    rows = docs.join(C.table(spark, folder, "labels"), "doc_id").select(
+    return docs.join(C.table(spark, folder, "labels"), "doc_id").select(
         "custom_id",
         F.when(F.col("quality") == 0, "spam").otherwise("ham").alias("ground_truth"),
         C.score_text().cast("double").alias("confidence"),
     )
-    return evaluate.roc_steps(rows, "spam")
+
+
+def _roc_steps(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.roc_steps(_labelled(spark, folder), "spam")
 
 
 def roc(spark: SparkSession, folder: str) -> DataFrame:
@@ -563,14 +600,14 @@ def labelling_job(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        can_read, emails, filter_chain, drop_audit, filter_counts, two_pass_audit, two_pass_kept, trim,
+        can_read, all_suffixes, all_phrases, emails, filter_chain, drop_audit, filter_counts, two_pass_audit, two_pass_kept, trim,
         python_chain, python_filter, html_basic, clean_cells, tokens, fingerprints,
         package, package_attachments, render_lines, prompt_override, chat,
         request_violations, request_summary, duplicate_ids,
         ordinals, shards_by_count, shards_by_bytes, review,
         responses, usage, submissions, scored_requests,
         output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract,
-        truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary,
+        truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary, summary_auc,
         raw_predictions, roc, auc, result_columns, results,
         stage_stats, histogram, counters, status_changes, state_age, progress,
         labelling_job,

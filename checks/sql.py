@@ -126,6 +126,11 @@ points AS (
   SELECT 0 AS point, 0.0 AS fpr, 0.0 AS tpr, 1.0 AS threshold
   UNION ALL SELECT point, round(fp / n, 6), round(tp / p, 6), round(confidence, 6) FROM running WHERE p > 0 AND n > 0)"""
 
+_AVERAGES = """sum(tp) / sum(support) AS accuracy, avg(precision) AS macro_precision, avg(recall) AS macro_recall,
+          avg(f1) AS macro_f1, sum(precision * support) / sum(support) AS weighted_precision,
+          sum(recall * support) / sum(support) AS weighted_recall, sum(f1 * support) / sum(support) AS weighted_f1,
+          CAST(sum(support) AS DOUBLE) AS total_predictions"""
+
 _CHANGES = """changes AS (
   SELECT event_id, ts, user_id, event_type FROM (
     SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
@@ -142,6 +147,10 @@ _TEXT_SCORE = "rtrim(rtrim(score, '0'), '.')"
 _CHAT = "'Classify the message.'"
 
 ORACLES = {
+    "all_suffixes": "SELECT doc_id, doc_id % 51 < 5 AS accepted FROM documents",
+    "all_phrases": """SELECT CAST(doc_id AS VARCHAR) AS filename, 'auto_reply' AS filter, 'auto-reply detected: ''' ||
+      ['out of office', 'automatic reply', 'auto-reply', 'autoreply', 'delivery status notification', 'undeliverable',
+       'vacation reply'][doc_id % 8 + 1] || '''' AS reason FROM documents WHERE doc_id % 8 < 7""",
     "can_read": f"WITH {_CORPUS} SELECT custom_id, doc_id % 6 <> 5 AS accepted FROM corpus",
     "emails": """SELECT doc_id, source || '@example.org' AS sender, 'note' AS subject, text AS body,
       'text/plain' AS content_type, 1 AS num_parts FROM documents""",
@@ -252,10 +261,14 @@ ORACLES = {
       FROM names g LEFT JOIN predicted r ON r.ground_truth = g.label GROUP BY g.label""",
     "per_class": f"{_EVAL}, {_classes('predicted')} {_CLASS_ROWS}",
     "summary": f"""{_EVAL}, {_classes('predicted')}, s AS (
-        SELECT sum(tp) / sum(support) AS accuracy, avg(precision) AS macro_precision, avg(recall) AS macro_recall,
-          avg(f1) AS macro_f1, sum(precision * support) / sum(support) AS weighted_precision,
-          sum(recall * support) / sum(support) AS weighted_recall, sum(f1 * support) / sum(support) AS weighted_f1,
-          CAST(sum(support) AS DOUBLE) AS total_predictions FROM classes)
+        SELECT {_AVERAGES} FROM classes)
+      SELECT metric, round(value, 6) AS value FROM (UNPIVOT s ON COLUMNS(*) INTO NAME metric VALUE value)""",
+    "summary_auc": f"""WITH {_ROC}, fit AS (
+        SELECT CASE WHEN pos = 1 THEN 'spam' ELSE 'ham' END AS ground_truth,
+          CASE WHEN confidence >= 0.5 THEN 'spam' ELSE 'ham' END AS predicted FROM scored),
+      {_classes('fit')}, area AS (SELECT sum((fpr - f) * (tpr + t) / 2) AS auc FROM (
+        SELECT *, lag(fpr) OVER (ORDER BY point) AS f, lag(tpr) OVER (ORDER BY point) AS t FROM points)),
+      s AS (SELECT {_AVERAGES}, any_value(auc) AS auc FROM classes, area)
       SELECT metric, round(value, 6) AS value FROM (UNPIVOT s ON COLUMNS(*) INTO NAME metric VALUE value)""",
     "raw_predictions": f"""{_EVAL} SELECT custom_id AS filename, ground_truth, predicted, confidence,
       ground_truth = predicted AS correct, CASE WHEN doc_id % 12 <> 8 THEN 'r ' || doc_id END AS reason,

@@ -34,6 +34,8 @@ from promptframe.operators.ordering import (
 )
 from promptframe.session import durable, shuffle_partitions
 
+# Rows of a range, about.
+ROWS_PER_RANGE = 200_000
 # Default bounds of a shard.
 MAX_REQUESTS = 50_000
 MAX_BYTES = 190 * 1024 * 1024
@@ -193,8 +195,9 @@ def pack(
     identify rows. Where no ``max_requests`` lines can exceed ``max_bytes``,
     the row number alone decides.
     """
-    ranges = ranges or shuffle_partitions(df.sparkSession)
-    largest = df.agg(F.max(size)).head()[0]
+    largest, rows = df.agg(F.max(size), F.count("*")).head()
+    # A range's sizes are in one task's memory at a time, so ranges follow the rows.
+    ranges = ranges or max(shuffle_partitions(df.sparkSession), -(-rows // ROWS_PER_RANGE))
     if largest is None or largest * max_requests <= max_bytes:
         numbered = with_seq(df, order, "_seq", ranges)
         return numbered.withColumn("shard", F.floor(F.col("_seq") / max_requests) + 1).drop("_seq")
