@@ -12,7 +12,8 @@ sets must agree on it, or for two, then they may differ in one element, which
 deleting any one element from either side finds. With ``H + 1`` counted in all,
 some segment must match. How many segments count for two is what costs least
 for the band: more of them mean fewer and larger segments, with fewer chance
-matches, but a signature for every deletion. A set is also indexed in the
+matches, but a signature for every deletion. Bands without such segments have
+some segments to spare, so that empty ones need not be looked at. A set is also indexed in the
 bands above where a partner can be close enough.
 
 Groups. Of the classes that share a signature, those whose sizes and parity
@@ -107,21 +108,28 @@ def bands(largest: int) -> list[tuple[int, int]]:
     return out
 
 
-def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int]:
-    """Segments of a band, and how many of them count for two errors."""
-    # |A| + |B| at most 2 * last; they differ in (1 - t) / (1 + t) of that at most.
+def allocation(first: int, last: int, sets: int, percent: int) -> tuple[int, int, int]:
+    """Segments of a band, how many of them count for two errors, and how many a set may leave empty.
+
+    With ``spare`` more segments than errors need, more than ``spare`` segments
+    agree. A set with no more than that many empty segments need not be found
+    by them, so it has no signatures of nothing, which all sets would share.
+    """
     errors = errors_of(2 * last, percent)
-    best, chosen = math.inf, (errors + 1, 0)
+    held = first / (errors + 1)
+    empty = (errors + 1) * math.exp(-held)
+    spare = math.ceil(empty + 3 * math.sqrt(empty)) if errors else 0
+    best, chosen = math.inf, None
     twos = 0
     while 2 * twos <= errors + 1:
-        ones = errors + 1 - 2 * twos
-        segments = ones + twos
-        held = first / segments
+        ones = errors + 1 - 2 * twos + (0 if twos else spare)
+        held = first / (ones + twos)
         signatures = sets * (ones + twos * (1 + held))
-        chance = sets * sets / 2 * (ones * math.exp(-2 * held) + twos * ((1 + held) * math.exp(-held)) ** 2)
-        cost = signatures + MEETING * chance
+        # Without segments for two errors, sets of which too many are empty are one in a thousand.
+        met = ones * math.exp(-2 * held) * (1 if twos else 1e-3) + twos * ((1 + held) * math.exp(-held)) ** 2
+        cost = signatures + MEETING * sets * sets / 2 * met
         if cost < best:
-            best, chosen = cost, (segments, twos)
+            best, chosen = cost, (ones + twos, twos, 0 if twos else spare)
         twos = twos * 2 or 1
     return chosen
 
@@ -142,7 +150,7 @@ def sketch(tokens: np.ndarray, bits: int) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def parts(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[int, int]], percent: int) -> list[tuple[int, bytes, np.ndarray]]:
+def parts(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[int, int, int]], percent: int) -> list[tuple[int, bytes, np.ndarray]]:
     """Band, sketch and signatures of a set, in its band and in those above where a partner can be close."""
     size = len(tokens)
     own = next(k for k, (_, last) in enumerate(limits) if size <= last)
@@ -150,7 +158,7 @@ def parts(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[in
     for band in range(own, len(limits)):
         if band > own and 100 * size < percent * limits[band][0]:
             break
-        segments, twos = plan[band]
+        segments, twos, spare = plan[band]
         place = (_mixed(tokens ^ _A) % np.uint64(segments)).astype(np.int64)
         value = _mixed(tokens + _C)
         order = np.argsort(place, kind="stable")
@@ -159,7 +167,7 @@ def parts(tokens: np.ndarray, limits: list[tuple[int, int]], plan: list[tuple[in
         sums = np.zeros(segments, np.uint64)
         sums[place[filled]] = np.add.reduceat(value, filled)
         names = _mixed(np.arange(segments, dtype=np.uint64) + np.uint64(band << 32) + _B)
-        found = [sums + names]
+        found = [(sums + names)[place[filled]] if segments - len(filled) <= spare else sums + names]
         if twos:
             deleted = place < twos
             found.append(sums[place[deleted]] - value[deleted] + names[place[deleted]])
