@@ -44,7 +44,7 @@ LENGTH, ANCHOR = 200, 100
 # Different fragments of a group that one task takes; bytes of one transform.
 GROUP, CHUNK = 4096, 1 << 20
 # Windows of a text that are hashed at once.
-STEP = 1 << 18
+STEP = 1 << 15
 
 _BASE = 0x9E3779B97F4A7C15
 _WORD = 1 << 64
@@ -282,12 +282,13 @@ def _spans_by_count(some: DataFrame, length: int) -> DataFrame:
 def repeated_spans(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """``s_doc, spans``: places to remove, as ``start, end`` in any order and overlapping, by document that has any."""
     runs = scratch.store(fragments(docs, doc_id, text, length, anchor), "runs")
-    shared = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # What enters a join by plain shuffles on both sides can be split where an anchor is common, so it is stored.
+    shared = scratch.store(runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "shared")
     again = scratch.store(runs.join(shared, "anchor"), "again")
-    scratch.drop("runs")
+    scratch.drop("runs", "shared")
     one = F.min(F.struct("doc", "first", "last"))
     different = scratch.store(again.groupBy("anchor", "content").agg(F.count("*").alias("n"), one.alias("one")), "different")
-    groups = different.groupBy("anchor").agg(F.count("*").alias("size")).filter("size > 1")
+    groups = scratch.store(different.groupBy("anchor").agg(F.count("*").alias("size")).filter("size > 1"), "groups")
     wanted = different.join(groups, "anchor").select(
         "one.doc", "anchor", "one.first", "one.last", (F.col("n") == 1).alias("single"), (F.col("size") > GROUP).alias("many")
     )
@@ -298,7 +299,7 @@ def repeated_spans(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, le
     whole = whole.select("doc", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     spans = whole.unionByName(parts).groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     spans = scratch.store(spans.select(F.col("doc").alias("s_doc"), "spans"), "spans")
-    scratch.drop("again", "different", "cut")
+    scratch.drop("again", "different", "groups", "cut")
     return spans
 
 
