@@ -81,8 +81,10 @@ def dedup_lines(
     ``kept`` is null where the text was null or every line went.
     """
     lines = scratch.store(keyed_lines(docs, doc_id, text, min_chars), "lines")
+    # Stored, so that both sides of the join are plain shuffles and a common line can be split.
+    keys = scratch.store(repeated_keys(lines, min_documents), "keys")
     drops = (
-        lines.join(repeated_keys(lines, min_documents), ["h1", "h2"])
+        lines.join(keys, ["h1", "h2"])
         .filter(F.struct("row.none", "row.id") != F.col("keeper"))
         .groupBy("row")
         .agg(F.sort_array(F.collect_set("pos")).alias("drops"))
