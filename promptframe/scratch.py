@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,15 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def settle(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of steps that are written and no longer referred to.
+
+        The cleaner acts when the driver collects garbage, which it may not do
+        for long while executors' disks fill.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def __enter__(self) -> Scratch:
         return self
 
