@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that other documents hold too go; a text that loses all of them is empty, null stays null."""
-    found = line_dedup.dedup_lines(Scratch(spark, "lines"), docs)
+    found = line_dedup.dedup_lines(Scratch(spark, "lines"), docs, store_lines=False)
     text = F.when(F.col("doc.text").isNotNull(), F.coalesce("kept", F.lit("")))
     new = {"text": text}
     if "n_chars" in docs.columns:

@@ -75,12 +75,16 @@ def dedup_lines(
     text: str = "text",
     min_chars: int = MIN_CHARS,
     min_documents: int = MIN_DOCUMENTS,
+    store_lines: bool = True,
 ) -> DataFrame:
     """``doc`` (the row as it was), ``n_lines``, ``n_dropped`` and ``kept``.
 
-    ``kept`` is null where the text was null or every line went.
+    ``kept`` is null where the text was null or every line went. Without
+    ``store_lines`` lines are keyed twice instead of written once.
     """
-    lines = scratch.store(keyed_lines(docs, doc_id, text, min_chars), "lines")
+    lines = keyed_lines(docs, doc_id, text, min_chars)
+    if store_lines:
+        lines = scratch.store(lines, "lines")
     # Stored, so that both sides of the join are plain shuffles and a common line can be split.
     keys = scratch.store(repeated_keys(lines, min_documents), "keys")
     drops = (

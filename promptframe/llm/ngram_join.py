@@ -301,7 +301,9 @@ def candidates(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
     shared = each.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
     # Stored, so that both sides of the join are plain shuffles and a common signature can be split.
     shared = scratch.store(shared, "shared")
+    scratch.settle()
     members = scratch.store(each.join(shared, "s").select("s", "node", "band", "n"), "members")
+    scratch.settle()
     sketches = classes.select("node", "size", F.inline("parts")).select("node", "band", "size", "sketch")
     blocks = F.ceil(F.col("n") / BUCKET).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -425,6 +427,7 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     classes = scratch.store(one.withColumn("node", F.monotonically_increasing_id()), "classes")
     rows_slim = scratch.store(rows.select("doc", "size", "c1", "c2"), "slim")
     scratch.drop("rows")
+    scratch.settle()
     near = connected(scratch, candidates(scratch, classes, percent), "near")
     near = near.select("node", F.col("component").alias("grp"))
     grouped = scratch.store(near.join(classes.select("node", "size"), "node"), "grouped")
@@ -435,6 +438,7 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     dealt = grouped.join(sizes, F.col("grp") == F.col("g")).withColumn("blocks", blocks).select("node", "grp", place.alias("block"), "blocks")
     wanted = classes.select("node", "doc", "c1", "c2").join(dealt, "node")
     sets = scratch.store(sets_of(docs, wanted, doc_id, text, width), "sets")
+    scratch.settle()
     joined = connected(scratch, links(sets, percent), "joined")
     of_class = classes.select("node", "c1", "c2", F.col("doc.id").alias("id")).join(joined, "node", "left")
     component = F.coalesce("component", "node")

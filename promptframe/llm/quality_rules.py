@@ -185,9 +185,16 @@ def estimate(codes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> np.nda
 
 
 def judge(scratch: Scratch, docs: DataFrame, text: str = "text", least: float = 0.5, keep_text: bool = True) -> DataFrame:
-    """``doc`` (the row as it was), the base measures, ``base_failed``, ``probability`` of good and ``kept``."""
-    rows = scratch.store(measured(docs, text, keep_text), "measured")
-    found = rows.groupBy("votes").count().collect()  # at most 3 ** rules
+    """``doc`` (the row as it was), the base measures, ``base_failed``, ``probability`` of good and ``kept``.
+
+    With their texts, rows are measured twice, for the counts and for the
+    result, so that texts are not written in between.
+    """
+    rows = measured(docs, text, keep_text)
+    if not keep_text:
+        rows = scratch.store(rows, "measured")
+    counted = measured(docs.select(text), text, False) if keep_text else rows
+    found = counted.groupBy("votes").count().collect()  # at most 3 ** rules
     codes, counts = np.array([r["votes"] for r in found], np.int64), np.array([r["count"] for r in found], float)
     probability = estimate(codes, counts) if found else []
     known = docs.sparkSession.createDataFrame(

@@ -286,6 +286,7 @@ def repeated_spans(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, le
     shared = scratch.store(runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "shared")
     again = scratch.store(runs.join(shared, "anchor"), "again")
     scratch.drop("runs", "shared")
+    scratch.settle()
     one = F.min(F.struct("doc", "first", "last"))
     different = scratch.store(again.groupBy("anchor", "content").agg(F.count("*").alias("n"), one.alias("one")), "different")
     groups = scratch.store(different.groupBy("anchor").agg(F.count("*").alias("size")).filter("size > 1"), "groups")
