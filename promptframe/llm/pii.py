@@ -9,11 +9,13 @@ time in proportion to the line however long it is.
 The method adds words. An entity is the value of a base span. How much a word
 ``t`` near it reveals about entity ``e`` is their pointwise mutual information
 over documents; the whole information of ``e`` is ``-log p(e)``. A plain word
-within ``NEAR`` characters of an entity is a span of kind ``term`` where the
+within ``NEAR`` characters of an entity is one of kind ``term`` where the
 information it gives is at least ``DISCLOSED`` of the whole, which is where
 ``log p(e|t) >= -(1 - DISCLOSED) * -log p(e)``, and where at least ``SUPPORT``
-different lines hold both. Frequencies are counted over all documents. In the
-sanitised text base spans are generalised to their kind and terms are removed.
+different lines hold both. Frequencies are counted over all documents. Every
+occurrence of such a word, in any document, is a span: it gives the entity away
+wherever it stands. In the sanitised text base spans are generalised to their
+kind and terms are removed.
 
 Counts of common entities and words are combined before the shuffle. Words of
 all documents are counted only for the words that stand near entities. Null and
@@ -42,7 +44,8 @@ PATTERNS = {
 IP_PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 # A word of letters alone, with nothing but punctuation between it and white space.
-TERM = r"(?<![^\x20\x09-\x0D(\[\"'])\p{L}{3,}+(?=[.,;:!?)\]\"']*+(?:[\x20\x09-\x0D]|\z))"
+BEFORE, AFTER = r"(?<![^\x20\x09-\x0D(\[\"'])", r"(?=[.,;:!?)\]\"']*+(?:[\x20\x09-\x0D]|\z))"
+TERM = BEFORE + r"\p{L}{3,}+" + AFTER
 MARKED = r"@|[0-9][\x20().-]*[0-9]"
 
 NEAR, SUPPORT, DISCLOSED = 60, 3, 0.9
@@ -69,20 +72,21 @@ def valid(kind: Column, value: Column) -> Column:
     )
 
 
-def matches(df: DataFrame, text: Column, patterns: dict[str, str], begin: Column) -> DataFrame:
-    """Every match in ``text`` as columns ``kind, value, start, end`` beside those of ``df``, whose ``row`` names it.
+def matches(df: DataFrame, text: str, patterns: dict[str, Column], begin: Column) -> DataFrame:
+    """Every match in column ``text`` as columns ``kind, value, start, end`` beside the others of ``df``, whose ``row`` names it.
 
     The text between matches gives their places: its lengths and theirs, summed.
     """
+    body = F.col(text)
     found = [
         F.struct(
             F.lit(kind).alias("kind"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"),
-            F.when(text.rlike(pattern), F.transform(F.split(text, pattern, -1), F.char_length)).alias("gaps"),
+            F.regexp_extract_all(body, pattern, F.lit(0)).alias("values"),
+            F.when(F.rlike(body, pattern), F.transform(F.split(body, pattern, -1), F.char_length)).alias("gaps"),
         )
         for kind, pattern in patterns.items()
     ]
-    own = df.columns
+    own = [c for c in df.columns if c != text]
     kinds = df.withColumn("_begin", begin).select(*own, "_begin", F.inline(F.array(*found))).filter("size(values) > 0")
     each = kinds.select(
         *own, "_begin", "kind", F.posexplode(F.arrays_zip("values", F.slice("gaps", 1, F.size("values")).alias("gap"))).alias("_n", "_m")
@@ -109,7 +113,9 @@ def marked_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def base_spans(lines: DataFrame) -> DataFrame:
-    found = matches(lines, F.col("line"), PATTERNS, F.lit(0))
+    """Places are those in the line; lines stay beside their spans."""
+    patterns = {kind: F.lit(pattern) for kind, pattern in PATTERNS.items()}
+    found = matches(lines.withColumn("_line", F.col("line")), "_line", patterns, F.lit(0))
     return found.filter(valid(F.col("kind"), F.col("value")))
 
 
@@ -132,7 +138,7 @@ def near_words(scratch: Scratch, spans: DataFrame) -> DataFrame:
         (F.col("begin") + F.col("at") + F.when(F.col("at") > 0, cut).otherwise(0)).alias("at"),
         (F.char_length("side") >= NEAR).alias("full"),
     )
-    words = matches(clipped, F.col("side"), {"term": TERM}, F.col("at"))
+    words = matches(clipped.withColumn("_side", F.col("side")), "_side", {"term": F.lit(TERM)}, F.col("at"))
     last = F.col("at") + F.char_length("side")
     return words.filter(~(F.col("full") & (F.col("end") == last))).select("doc", "entity", "context", F.lower("value").alias("term"), "start", "end")
 
@@ -144,8 +150,7 @@ def revealing(scratch: Scratch, docs: DataFrame, text: str, near: DataFrame) ->
     pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("support"), F.countDistinct("doc").alias("with_both"))
     pairs = scratch.store(pairs.filter(F.col("support") >= SUPPORT), "pairs")
     terms = pairs.select("term").distinct()
-    if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        terms = F.broadcast(terms)
+    terms = F.broadcast(terms) if few(terms) else terms
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))
     counted = docs.select(F.explode(words).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_t"))
     both = pairs.join(entities, "entity").join(counted, "term")
@@ -154,13 +159,34 @@ def revealing(scratch: Scratch, docs: DataFrame, text: str, near: DataFrame) ->
     return both.filter((whole > 0) & (given >= DISCLOSED * whole)).select("entity", "term")
 
 
+def few(df: DataFrame) -> bool:
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def occurrences(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> DataFrame:
+    """``doc, start, end`` of every place of the words ``term`` in the whole texts.
+
+    A text is searched only for the words it holds, in the forms it holds them.
+    """
+    terms = F.broadcast(terms) if few(terms) else terms
+    forms = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(TERM), F.lit(0)))
+    held = docs.select(row_id(doc_id, text).alias("doc"), F.explode(forms).alias("form")).withColumn("term", F.lower("form"))
+    own = held.join(terms, "term", "left_semi").groupBy("doc").agg(F.array_join(F.sort_array(F.collect_set("form")), "|").alias("forms"))
+    own = scratch.store(own.select(F.col("doc.id").alias("o_id"), F.col("doc.text").alias("o_text"), "forms"), "forms")
+    same = F.col("doc.id").eqNullSafe(F.col("o_id")) & (F.col("doc.text") == F.col("o_text"))
+    bodies = docs.select(row_id(doc_id, text).alias("doc"), F.col(text).alias("body")).join(own, same).dropDuplicates(["doc"])
+    bodies = bodies.select("doc", F.col("doc").alias("row"), "body", F.concat(F.lit(BEFORE + "(?:"), "forms", F.lit(")" + AFTER)).alias("pattern"))
+    return matches(bodies, "body", {"term": F.col("pattern")}, F.lit(0)).select("doc", "start", "end")
+
+
 def find_spans(scratch: Scratch, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc`` (a row's id and the hash of its text), ``spans``: ``start, kind, end`` in order; rows without spans are not listed."""
     lines = marked_lines(docs, doc_id, text)
     base = scratch.store(base_spans(lines), "base")
     near = scratch.store(near_words(scratch, base), "near")
     pairs = scratch.store(revealing(scratch, docs, text, near), "revealing")
-    terms = near.join(pairs, ["entity", "term"], "left_semi").select("doc", "start", F.lit(KINDS.index("term")).alias("kind"), "end").distinct()
+    found = occurrences(scratch, docs, doc_id, text, pairs.select("term").distinct())
+    terms = found.select("doc", "start", F.lit(KINDS.index("term")).alias("kind"), "end")
     number = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1
     place = F.col("begin")
     whole = base.select("doc", (place + F.col("start")).alias("start"), number.cast("int").alias("kind"), (place + F.col("end")).alias("end"))

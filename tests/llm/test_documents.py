@@ -282,6 +282,17 @@ def test_terms_that_give_an_entity_away(spark):
     assert got[105] == fill[5][1]
 
 
+def test_terms_go_wherever_they_stand(spark):
+    fill = [(100 + k, f"the mill wheel turned {k} times for many people that day and the weather was fine") for k in range(200)]
+    near = [(k, f"the falconer of day {k}: jane@falcon.org\n" + "the mill wheel turned " * 9 + "\n(Falconer), FALCONER. falconer's") for k in range(20)]
+    docs = frames.plain(spark, fill + near + [(None, "the falconer; Falconer\nfalconers"), (7, "the mill 😀 FALCONER"), (7, "the mill 😀 FALCONER")])
+    found = pii.sanitise(pii.with_spans(docs, pii.find_spans(scratch(spark), docs), "doc_id", "text"))
+    got = [(r["row"]["doc_id"], r["sanitised"]) for r in found.collect()]
+    assert (3, "the  of day 3: [EMAIL]\n" + "the mill wheel turned " * 9 + "\n(), . falconer's") in got
+    assert (None, "the ; \nfalconers") in got and got.count((7, "the mill 😀 ")) == 2
+    assert fill[5] in got
+
+
 def test_spans_extra_columns_and_empty_table(spark):
     docs = frames.docs(spark)
     found = pii.sanitise(pii.with_spans(docs, pii.find_spans(scratch(spark), docs), "doc_id", "text"))
