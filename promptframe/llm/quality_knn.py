@@ -7,7 +7,7 @@ of their relative frequency and by how rare a term is, and are projected on the
 leading singular directions of a labelled sample.
 
 The sample is bounded: at most ``SAMPLE_ROWS`` documents of each label, in the
-order of a hash of the id and text. Its vectors, ``2 * SAMPLE_ROWS * DIMENSIONS`` numbers
+order of a hash of the id and text, each id, label and text once. Its vectors, ``2 * SAMPLE_ROWS * DIMENSIONS`` numbers
 at most, are broadcast with the projection. Every text, read whole, gets its
 exact cosine with every labelled vector, a block of texts at a time; the labels
 of the ``NEIGHBOURS`` nearest vote with the cosine's power ``SHARPNESS`` as
@@ -15,7 +15,7 @@ weight.
 
 Null and empty texts, and texts with no term known to the sample, score the
 share of label 1 among the labelled rows (0.5 where there are none). A null
-label is no label; an id labelled twice counts once per label row. Null ids pass
+label is no label; an id with both labels counts once for each. Null ids pass
 through. Rows that repeat an id are scored each for itself. An empty table gives
 an empty table. Extra columns pass through, whatever their names.
 """
@@ -134,15 +134,17 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "do
     order = F.xxhash64(F.col("id").cast("string"), "body")
     named = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
     rows = named.filter("body IS NOT NULL").select("id", order.alias("hash")).join(known, F.col("id") == F.col("l_id"))
+    # A row that is there many times has one place, and one vote.
+    rows = rows.select("l_id", "label", "hash").dropDuplicates()
     place = F.row_number().over(Window.partitionBy("label").orderBy("hash", "l_id"))
     chosen = (
         rows.withColumn("place", place)
         .filter(F.col("place") <= SAMPLE_ROWS)
         .select(F.col("l_id").alias("c_id"), F.col("label").alias("c_label"), F.col("hash").alias("c_hash"))
-        .dropDuplicates()
     )
     # Only names are sorted; the texts of the chosen, of a bounded number, are then read.
     sample = named.join(F.broadcast(chosen), (F.col("id") == F.col("c_id")) & (order == F.col("c_hash")))
+    sample = sample.dropDuplicates(["c_id", "c_label", "c_hash"])
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()

@@ -157,6 +157,14 @@ def test_quality_odd_rows(spark):
     assert by_text[frames.TEXTS[0][1]] > 0.5 > by_text["spam $$$ " * 100]
 
 
+def test_repeated_rows_are_learned_from_once(spark, monkeypatch):
+    monkeypatch.setattr(quality_knn, "SAMPLE_ROWS", 5)
+    rows = [(1, frames.PROSE)] * 300 + [(k, f"{frames.OTHER} {k}") for k in range(2, 6)] + [(9, "spam $$$ " * 50)] * 40
+    labels = spark.createDataFrame([(k, 1) for k in range(1, 6)] + [(1, 1), (9, 0), (9, 0)], "doc_id long, quality int")
+    model = quality_knn.learn(frames.plain(spark, rows), labels, F.lit(True))
+    assert sorted(model.labels.tolist()) == [0, 1, 1, 1, 1, 1] and len(model.vectors) == 6
+
+
 def test_quality_without_labels(spark):
     docs, labels = frames.docs(spark), spark.createDataFrame([], "doc_id long, quality int")
     model = quality_knn.learn(docs, labels, F.lit(True))
