@@ -7,18 +7,17 @@ the patterns crosses a line feed, so they run line by line, in forms that take
 time in proportion to the line however long it is.
 
 The method adds words. An entity is the value of a base span. How much a word
-``t`` near it reveals about entity ``e`` is their pointwise mutual information
-over documents; the whole information of ``e`` is ``-log p(e)``. A plain word
-within ``NEAR`` characters of an entity is one of kind ``term`` where the
+``t`` reveals about entity ``e`` is their pointwise mutual information over
+documents; the whole information of ``e`` is ``-log p(e)``. A plain word, at any
+place of a document that holds an entity, is one of kind ``term`` where the
 information it gives is at least ``DISCLOSED`` of the whole, which is where
 ``log p(e|t) >= -(1 - DISCLOSED) * -log p(e)``, and where at least ``SUPPORT``
-different lines hold both. Frequencies are counted over all documents. Every
-occurrence of such a word, in any document, is a span: it gives the entity away
-wherever it stands. In the sanitised text base spans are generalised to their
-kind and terms are removed.
+documents hold both. All frequencies are counted over all documents, each row
+being one. Every occurrence of such a word, in any document, is a span: it gives
+the entity away wherever it stands. In the sanitised text base spans are
+generalised to their kind and terms are removed.
 
-Counts of common entities and words are combined before the shuffle. Words of
-all documents are counted only for the words that stand near entities. Null and
+Counts of entities, words and pairs are combined before the shuffle. Null and
 empty texts have no spans. Rows that agree in id and text have the same spans;
 null ids are ids like any other. An empty table gives an empty table. Extra
 columns pass through ``sanitise``, whatever their names.
@@ -48,8 +47,10 @@ BEFORE, AFTER = r"(?<![^\x20\x09-\x0D(\[\"'])", r"(?=[.,;:!?)\]\"']*+(?:[\x20\x0
 TERM = BEFORE + r"\p{L}{3,}+" + AFTER
 MARKED = r"@|[0-9][\x20().-]*[0-9]"
 
-NEAR, SUPPORT, DISCLOSED = 60, 3, 0.9
+SUPPORT, DISCLOSED = 3, 0.9
 BROADCAST_ROWS = 100_000
+# Rows above which a key is common.
+HOT = 10_000
 
 
 def valid(kind: Column, value: Column) -> Column:
@@ -113,64 +114,73 @@ def marked_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def base_spans(lines: DataFrame) -> DataFrame:
-    """Places are those in the line; lines stay beside their spans."""
+    """Places are those in the line."""
     patterns = {kind: F.lit(pattern) for kind, pattern in PATTERNS.items()}
-    found = matches(lines.withColumn("_line", F.col("line")), "_line", patterns, F.lit(0))
+    found = matches(lines, "line", patterns, F.lit(0))
     return found.filter(valid(F.col("kind"), F.col("value")))
 
 
-def near_words(scratch: Scratch, spans: DataFrame) -> DataFrame:
-    """``doc, entity, context, value, start, end`` of the plain words near each span; places are those in the text."""
-    low = F.greatest(F.col("start") - NEAR, F.lit(0))
-    sides = F.array(
-        F.struct(low.alias("at"), F.substring("line", (low + 1).cast("int"), (F.col("start") - low).cast("int")).alias("side")),
-        F.struct(F.col("end").alias("at"), F.substring("line", (F.col("end") + 1).cast("int"), F.lit(NEAR)).alias("side")),
-    )
-    entity = F.xxhash64("kind", F.lower("value"))
-    around = spans.select("doc", "begin", "start", entity.alias("entity"), F.xxhash64("line").alias("context"), F.inline(sides))
-    # What a side cuts in two is no word: its first and last run of letters go unless the line ends there too.
-    around = around.withColumn("row", F.struct("doc", "begin", "start", "at", "entity"))
-    inner = F.regexp_replace("side", r"^\p{L}+", "")
-    cut = (F.char_length("side") - F.char_length(inner)).cast("long")
-    clipped = around.select(
-        "doc", "entity", "context", "row",
-        F.when(F.col("at") > 0, inner).otherwise(F.col("side")).alias("side"),
-        (F.col("begin") + F.col("at") + F.when(F.col("at") > 0, cut).otherwise(0)).alias("at"),
-        (F.char_length("side") >= NEAR).alias("full"),
-    )
-    words = matches(clipped.withColumn("_side", F.col("side")), "_side", {"term": F.lit(TERM)}, F.col("at"))
-    last = F.col("at") + F.char_length("side")
-    return words.filter(~(F.col("full") & (F.col("end") == last))).select("doc", "entity", "context", F.lower("value").alias("term"), "start", "end")
-
-
-def revealing(scratch: Scratch, docs: DataFrame, text: str, near: DataFrame) -> DataFrame:
-    """``entity, term`` of the words that give an entity away."""
-    total = docs.count()
-    entities = near.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("with_e"))
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("support"), F.countDistinct("doc").alias("with_both"))
-    pairs = scratch.store(pairs.filter(F.col("support") >= SUPPORT), "pairs")
-    terms = pairs.select("term").distinct()
-    terms = F.broadcast(terms) if few(terms) else terms
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))
-    counted = docs.select(F.explode(words).alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_t"))
-    both = pairs.join(entities, "entity").join(counted, "term")
-    whole = F.log(F.lit(float(max(total, 2))) / F.col("with_e"))
-    given = F.log(F.col("with_both") * F.lit(float(total)) / (F.col("with_e") * F.col("with_t")))
-    return both.filter((whole > 0) & (given >= DISCLOSED * whole)).select("entity", "term")
+def plain_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc, marked, forms`` of each row: whether it may hold an entity, and its plain words."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    forms = F.array_distinct(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)))
+    return docs.select(row_id(doc_id, text).alias("doc"), body.rlike(MARKED).alias("marked"), forms.alias("forms"))
 
 
 def few(df: DataFrame) -> bool:
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.count() <= BROADCAST_ROWS
+
+
+def counted(rows: DataFrame, counts: DataFrame, key: str, number: str) -> DataFrame:
+    """``rows`` whose ``key`` is in ``counts``, with its ``number``; no task gets all rows of a common key."""
+    if few(counts):
+        return rows.join(F.broadcast(counts), key)
+    common = F.broadcast(counts.filter(F.col(number) > HOT))
+    rest = rows.join(common.select(key), key, "left_anti").join(counts.filter(F.col(number) <= HOT), key)
+    return rows.join(common, key).unionByName(rest)
+
+
+def revealing(scratch: Scratch, words: DataFrame, base: DataFrame) -> DataFrame:
+    """``entity, term`` of the words that give an entity away; ``words`` has ``doc, forms`` of each row.
+
+    All counts are rows. A word reveals an entity only where at most
+    ``with_e ** DISCLOSED * total ** (1 - DISCLOSED)`` rows hold it, so other
+    pairs, which are most, are not made.
+    """
+    total = words.count()
+    lowered = F.array_distinct(F.transform("forms", lambda f: F.lower(f)))
+    holders = base.groupBy("doc").agg(F.collect_set(F.xxhash64("kind", F.lower("value"))).alias("entities"))
+    holders = holders.select(F.col("doc.id").alias("h_id"), F.col("doc.text").alias("h_text"), "entities")
+    same = F.col("doc.id").eqNullSafe(F.col("h_id")) & (F.col("doc.text") == F.col("h_text"))
+    marked = words.filter("marked").select("doc", lowered.alias("terms")).join(holders, same)
+    marked = scratch.store(marked.select("terms", "entities", F.monotonically_increasing_id().alias("n")), "marked")
+    # One part in a thousand more, so that rounding loses no pair.
+    most = 1.001 * F.pow("with_e", F.lit(DISCLOSED)) * F.lit(float(max(total, 1)) ** (1 - DISCLOSED))
+    entities = marked.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_e"))
+    entities = scratch.store(entities.filter(F.col("with_e") >= SUPPORT).withColumn("most", most), "entities")
+    highest = entities.agg(F.max("most")).first()[0] or 0.0
+    terms = words.select(F.explode(lowered).alias("term")).groupBy("term").agg(F.count("*").alias("with_t"))
+    terms = scratch.store(terms.filter(F.col("with_t").between(F.lit(SUPPORT), F.lit(highest))), "terms")
+    # The entities of a row that can have a term at all, then its words.
+    own = counted(marked.select("n", F.explode("entities").alias("entity")), entities, "entity", "with_e")
+    own = own.groupBy("n").agg(F.collect_list(F.struct("entity", "with_e", "most")).alias("own"))
+    each = marked.join(own, "n").select(F.explode("terms").alias("term"), "own")
+    each = counted(each, terms, "term", "with_t")
+    fit = F.filter("own", lambda e: e["most"] >= F.col("with_t"))
+    pairs = each.select("term", "with_t", F.inline(fit)).groupBy("entity", "term", "with_e", "with_t").agg(F.count("*").alias("with_both"))
+    whole = F.log(F.lit(float(max(total, 2))) / F.col("with_e"))
+    given = F.log(F.col("with_both") * F.lit(float(total)) / (F.col("with_e") * F.col("with_t")))
+    found = pairs.filter((F.col("with_both") >= SUPPORT) & (whole > 0) & (given >= DISCLOSED * whole))
+    return found.select("entity", "term")
 
 
-def occurrences(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, terms: DataFrame) -> DataFrame:
+def occurrences(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, words: DataFrame, terms: DataFrame) -> DataFrame:
     """``doc, start, end`` of every place of the words ``term`` in the whole texts.
 
     A text is searched only for the words it holds, in the forms it holds them.
     """
     terms = F.broadcast(terms) if few(terms) else terms
-    forms = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(TERM), F.lit(0)))
-    held = docs.select(row_id(doc_id, text).alias("doc"), F.explode(forms).alias("form")).withColumn("term", F.lower("form"))
+    held = words.select("doc", F.explode("forms").alias("form")).withColumn("term", F.lower("form"))
     own = held.join(terms, "term", "left_semi").groupBy("doc").agg(F.array_join(F.sort_array(F.collect_set("form")), "|").alias("forms"))
     own = scratch.store(own.select(F.col("doc.id").alias("o_id"), F.col("doc.text").alias("o_text"), "forms"), "forms")
     same = F.col("doc.id").eqNullSafe(F.col("o_id")) & (F.col("doc.text") == F.col("o_text"))
@@ -183,9 +193,9 @@ def find_spans(scratch: Scratch, docs: DataFrame, doc_id: str = "doc_id", text:
     """``doc`` (a row's id and the hash of its text), ``spans``: ``start, kind, end`` in order; rows without spans are not listed."""
     lines = marked_lines(docs, doc_id, text)
     base = scratch.store(base_spans(lines), "base")
-    near = scratch.store(near_words(scratch, base), "near")
-    pairs = scratch.store(revealing(scratch, docs, text, near), "revealing")
-    found = occurrences(scratch, docs, doc_id, text, pairs.select("term").distinct())
+    words = scratch.store(plain_words(docs, doc_id, text), "words")
+    pairs = scratch.store(revealing(scratch, words, base), "revealing")
+    found = occurrences(scratch, docs, doc_id, text, words, pairs.select("term").distinct())
     terms = found.select("doc", "start", F.lit(KINDS.index("term")).alias("kind"), "end")
     number = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1
     place = F.col("begin")

@@ -293,6 +293,34 @@ def test_terms_go_wherever_they_stand(spark):
     assert fill[5] in got
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_terms_of_the_whole_document(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(pii, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(pii, "HOT", 15)
+    copied = "Contact for all questions: jane@falcon.org\n"  # one line in all documents of the entity
+    fill = [(100 + k, f"the mill wheel turned {k} times for many people, questions for all") for k in range(300)]
+    above = [(k, "Name: Falconer\n" + "the mill wheel turned " * 9 + "\n" + copied) for k in range(20)]
+    other = [(50 + k, f"smith{'' if k else 's'} of the mill " + "wheel turned " * 9 + " +1 (555) 010-2345 many people") for k in range(4)]
+    pair = [(60 + k, f"only {'miller' if k else 'bakers'} bob@mill.org") for k in range(3)]
+    rows = fill + above + other + pair
+    docs = frames.plain(spark, rows)
+    found = pii.with_spans(docs, pii.find_spans(scratch(spark), docs), "doc_id", "text").collect()
+    got = {(r["row"]["doc_id"], r["row"]["text"][s["start"] : s["end"]]) for r in found for s in r["spans"] or [] if s["kind"] == 4}
+    words = {i: {w for w in re.findall(r"(?<![^\s(])[^\W\d_]{3,}(?=[.,:;)]*(?:\s|$))", t)} for i, t in rows}
+    entities = {i: {m[0] for m in re.finditer(r"\S+@\S+|[+]1.{15}", t)} for i, t in rows}
+    # Every pair of an entity and a word of the same document, counted in documents.
+    with_e, with_t, both = Counter(), Counter(), Counter()
+    for i, _ in rows:
+        lowered = {w.lower() for w in words[i]}
+        with_e.update(entities[i])
+        with_t.update(lowered)
+        both.update((e, w) for e in entities[i] for w in lowered)
+    terms = {t for (e, t), n in both.items() if n >= 3 and n / with_t[t] >= (with_e[e] / len(rows)) ** 0.1}
+    assert {"falconer", "name", "contact", "smith", "only"} <= terms and not {"the", "wheel", "miller"} & terms
+    assert got == {(i, w) for i in words for w in words[i] if w.lower() in terms}
+
+
 def test_spans_extra_columns_and_empty_table(spark):
     docs = frames.docs(spark)
     found = pii.sanitise(pii.with_spans(docs, pii.find_spans(scratch(spark), docs), "doc_id", "text"))
