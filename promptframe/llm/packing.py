@@ -1,7 +1,7 @@
 """Pack tokenized documents into sequences of a fixed capacity, best fit on counts.
 
 A document is its token ids and one closing id. Only documents above the
-capacity are cut, into pieces of the capacity; the last piece may be shorter.
+capacity are cut, into pieces of the capacity; the first piece may be shorter.
 What is planned is the histogram of piece lengths, at most ``capacity`` counts:
 from the longest length down, pieces go to the open sequences with the least
 room that still fits, as many at a time as there are sequences of that room, so
@@ -20,6 +20,7 @@ from __future__ import annotations
 import array
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cached_property
@@ -42,16 +43,21 @@ class Encoder:
     The vocabulary and the special tokens are those of a byte-level BPE file of
     ``tokenizers``. Plain text is encoded by ``tiktoken`` with that vocabulary,
     which gives the same ids in a quarter of the time; a text that holds the
-    string of a special token is encoded by ``tokenizers`` itself.
+    string of a special token, or a run of white space that is too long for
+    that library's pattern matcher, is encoded by ``tokenizers`` itself.
+    With ``literal`` the strings of special tokens are plain text.
     """
 
+    # Longer runs of white space may exhaust the stack of the quick pattern.
+    LONG_BLANKS = re.compile(r"\s{10000}")
+
     # Fixed value: how byte-level BPE splits text before merging.
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, literal: bool = False):
         import tiktoken
 
-        self.source = tokenizer_json
+        self.source, self.literal = tokenizer_json, literal
         spec = json.loads(tokenizer_json)
         self.special = [x["content"] for x in spec["added_tokens"]]
         # Printable Latin-1 stands for its own byte, the other bytes for 256 onwards.
@@ -60,25 +66,32 @@ class Encoder:
         byte_of = {chr(x): x for x in printable} | {chr(256 + k): x for k, x in enumerate(others)}
         vocabulary = ((token, rank) for token, rank in spec["model"]["vocab"].items() if token not in self.special)
         ranks = {bytes(byte_of[c] for c in token): rank for token, rank in vocabulary}
+        self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.plain = tiktoken.Encoding("plain", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @cached_property
     def tokenizer(self):
         from tokenizers import Tokenizer
 
-        return Tokenizer.from_str(self.source)
+        made = Tokenizer.from_str(self.source)
+        made.encode_special_tokens = self.literal
+        return made
+
+    def ids(self, text: str) -> list[int]:
+        if (not self.literal and any(x in text for x in self.special)) or self.LONG_BLANKS.search(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.plain.encode_ordinary(text)
 
     def encode(self, text: str) -> bytes:
-        if any(x in text for x in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.plain.encode_ordinary(text)
-        return array.array("I", ids).tobytes()
+        return array.array("I", self.ids(text)).tobytes()
 
 
 def cut(length: int, capacity: int) -> Iterator[tuple[int, int]]:
-    for start in range(0, length, capacity):
-        yield start, min(capacity, length - start)
+    """Start and length of the pieces; what the capacity does not divide comes first."""
+    first = (length - 1) % capacity + 1
+    yield 0, first
+    for start in range(first, length, capacity):
+        yield start, capacity
 
 
 def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer_path: str, capacity: int, with_ids: bool) -> DataFrame:

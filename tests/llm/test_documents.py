@@ -115,8 +115,11 @@ def check_packing(rows, found, capacity):
     want, got = Counter(), Counter()
     for i, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
-        for piece, start in enumerate(range(0, len(ids), capacity)):
-            own = ids[start : start + capacity]
+        # Full pieces from the end; what is left is the first.
+        ends = list(range(len(ids), 0, -capacity))[::-1]
+        for piece, end in enumerate(ends):
+            start = max(0, end - capacity)
+            own = ids[start:end]
             want[(i, piece, start, len(own), zlib.crc32(array.array("I", own).tobytes()))] += 1
     sequences = defaultdict(list)
     for r in found:
@@ -148,6 +151,19 @@ def test_packing_odd_rows(spark):
     assert packing.pack_documents(scratch(spark), frames.docs(spark, []), tokenizer_path()).count() == 0
 
 
+def test_packing_cuts_the_first_piece():
+    assert list(packing.cut(3002, 2048)) == [(0, 954), (954, 2048)]
+    assert list(packing.cut(4096, 2048)) == [(0, 2048), (2048, 2048)]
+    assert list(packing.cut(1, 2048)) == [(0, 1)]
+
+
+@pytest.mark.parametrize("blanks", [9_999, 10_000, 1_000_000])
+def test_packing_of_long_white_space(spark, blanks):
+    rows = [(1, "a" + " " * blanks + "b"), (2, "\t" * blanks), (3, " \n" * (blanks // 2))]
+    found = packing.pack_documents(scratch(spark), frames.plain(spark, rows), tokenizer_path()).collect()
+    check_packing(rows, found, 2048)
+
+
 def test_encoder_equals_tokenizer_on_all_scripts():
     from tokenizers import Tokenizer
 
