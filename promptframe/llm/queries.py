@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.llm import language, line_dedup, mixing, neighbours, ngram_join, packing, pii, quality_knn, quality_rules, repeated_spans
+from promptframe.llm import (
+    alignment,
+    filter_audit,
+    language,
+    licenses,
+    line_dedup,
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    pii,
+    quality_knn,
+    quality_rules,
+    repeated_spans,
+)
 from promptframe.llm.words import held_out
 from promptframe.scratch import Scratch
 
@@ -14,10 +28,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_cross_parsing(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,6 +105,24 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc.doc_id", "n_lines", "n_dropped", digest)
 
 
+def op11_shared_cuts(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op11")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = alignment.align(scratch, docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), keep_text=False)
+    return out.select("doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_signature_rules(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op12")
+    out = licenses.scan(scratch, table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    return out.select("doc.doc_id", *out.columns[1:])
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "op13")
+    return filter_audit.audit(scratch, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_cross_parsing": op1_cross_parsing,
     "op2_block_neighbours": op2_block_neighbours,
@@ -102,4 +134,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_disclosing_terms": op9_disclosing_terms,
     "op10_line_dedup": op10_line_dedup,
+    "op11_shared_cuts": op11_shared_cuts,
+    "op12_signature_rules": op12_signature_rules,
+    "op13_filter_audit": op13_filter_audit,
 }
