@@ -194,6 +194,26 @@ def render_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bare_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Request lines whose content mixes bare strings, text parts, other parts and numbers, as chat messages."""
+    docs = C.table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    quoted = F.regexp_extract(F.to_json(F.struct("text")), r'(?s)^\{"text":(.*)\}$', 1)
+    parts = [quoted, F.lit('{"type":"input_text","text":"part"}'), F.lit('{"type":"image","text":"x"}'), F.lit('{"type":"input_text"}'), F.lit("7")]
+    content = F.array_join(F.array(*parts, F.lit('"last"')), ",")
+    body = F.concat(F.lit('{"instructions":"","input":[{"content":["first"]},{"role":"tool","content":['), content, F.lit("]}]}"))
+    line = F.concat(F.lit('{"custom_id":"'), F.col("id"), F.lit('","body":'), body, F.lit("}"))
+    chats = render.to_chat(parse_requests(docs.select(line.alias("line"))), MODEL)
+    messages = F.col("payload.messages")
+    return chats.select(
+        "custom_id",
+        F.size(messages).cast("long").alias("n_messages"),
+        messages[0]["role"].alias("first_role"),
+        messages[0]["content"].alias("first_text"),
+        messages[1]["role"].alias("second_role"),
+        messages[1]["content"].alias("second_text"),
+    )
+
+
 def prompt_override(spark: SparkSession, folder: str) -> DataFrame:
     changed = render.override_prompt(_requests(spark, folder), "Be brief.")
     return changed.select("custom_id", F.col("body.model").alias("model"), F.col("body.instructions").alias("instructions"))
@@ -602,7 +622,7 @@ QUERIES = {
     for f in (
         can_read, all_suffixes, all_phrases, emails, filter_chain, drop_audit, filter_counts, two_pass_audit, two_pass_kept, trim,
         python_chain, python_filter, html_basic, clean_cells, tokens, fingerprints,
-        package, package_attachments, render_lines, prompt_override, chat,
+        package, package_attachments, render_lines, bare_parts, prompt_override, chat,
         request_violations, request_summary, duplicate_ids,
         ordinals, shards_by_count, shards_by_bytes, review,
         responses, usage, submissions, scored_requests,

@@ -177,6 +177,8 @@ ORACLES = {
     "package": f"WITH {_CORPUS} SELECT custom_id, {_lines()} AS text FROM corpus",
     "package_attachments": f"""WITH {_CORPUS} SELECT custom_id, {_lines()} || CASE WHEN doc_id % 3 = 0
       THEN E'\\n\\nAttachments:\\n  - a_' || doc_id || E'.pdf\\n  - scan.png' ELSE '' END AS text FROM corpus""",
+    "bare_parts": """SELECT doc_id::VARCHAR AS custom_id, 2::BIGINT AS n_messages, 'user' AS first_role, 'first' AS first_text,
+        'tool' AS second_role, coalesce(text, '') || chr(10) || 'part' || chr(10) || chr(10) || 'last' AS second_text FROM documents""",
     "render_lines": f"""WITH {_CORPUS} SELECT custom_id, 'POST' AS method, '/v1/responses' AS url, 'small-1' AS model,
       {_CHAT} AS instructions, 'user' AS role, {_lines()} AS text, 'json_schema' AS format_type, true AS strict
       FROM corpus""",

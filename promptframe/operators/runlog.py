@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptframe.operators.ordering import with_previous
+from promptframe.sources.steps import append_rows, put_rows
 
 # Upper bounds of the duration buckets, in seconds.
 STEP_BUCKETS = [0.1, 0.5, 1, 5, 10, 30, 60, 120, 300, 600]
@@ -19,13 +20,21 @@ EVENT = (
 )
 
 
-def log_events(spark: SparkSession, folder: str, events: list[dict]) -> None:
-    """Append events of the driver to the run log; unset fields are null."""
+def log_events(spark: SparkSession, folder: str, events: list[dict], keys: Sequence[str] = ()) -> None:
+    """Write events of the driver to the run log; unset fields are null.
+
+    Without ``keys`` they are appended. With keys, which are then columns of
+    the folder's layout, they take the place of all earlier events of the same
+    keys, so a step that is done again leaves one row.
+    """
     names = [f.split()[0] for f in EVENT.split(", ")]
     rows = spark.createDataFrame([tuple(e.get(n) for n in names) for e in events], EVENT)
     now = F.current_timestamp()
     rows = rows.withColumns({"timestamp": F.coalesce("timestamp", now), "level": F.coalesce("level", F.lit("INFO"))})
-    rows.coalesce(1).write.mode("append").parquet(folder)
+    if keys:
+        put_rows(rows.coalesce(1), folder, keys)
+    else:
+        append_rows(rows.coalesce(1), folder)
 
 
 def step_statistics(events: DataFrame, step: str = "step", duration: str = "duration_ms") -> DataFrame:

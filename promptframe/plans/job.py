@@ -15,19 +15,18 @@ from promptframe.operators import reports, runlog, sharding
 from promptframe.operators.chain import REJECT, kept, mark_rejects, run_transforms
 from promptframe.operators.contract import Contract
 from promptframe.operators.evaluate import Evaluation, evaluate
-from promptframe.operators.inference import output_records, run_inference, score_resumable, submission_summary
+from promptframe.operators.inference import output_records, run_inference, score_committed, submission_summary
 from promptframe.operators.ordering import with_seq
 from promptframe.operators.render import line_bytes, override_prompt, render_requests, request_line, require_valid_requests, to_chat
 from promptframe.operators.truth import predictions, resolve_truth
 from promptframe.operators.validate import quarantine, records_as_outputs, valid_rows, validate_outputs
 from promptframe.plans.recipes import Recipe
 from promptframe.sources.prompts import DEFAULT_PROMPT
+from promptframe.sources.score_log import ROWS_PER_BLOCK
 from promptframe.sources.steps import is_complete, read_step, write_step
 from promptframe.sources.storage import read_text, write_text
 
 
-# Requests scored and written at a time.
-ROWS_PER_ROUND = 1_000_000
 STEP = "reject_step"
 # The tables of a job, in the order in which they are made.
 STEPS = ["marked", "requests", "manifest", "chats", "records", "submissions", "checked", "predictions"]
@@ -158,7 +157,7 @@ def run_job(
     positive: str | None = None,
     prompt: str | None = None,
     resume: bool = False,
-    rows_per_round: int = ROWS_PER_ROUND,
+    rows_per_round: int = ROWS_PER_BLOCK,
     max_requests: int = sharding.MAX_REQUESTS,
     max_bytes: int = sharding.MAX_BYTES,
     export: bool = True,
@@ -170,7 +169,8 @@ def run_job(
     audit and the requests come from it. Requests are checked (ids, models)
     before any is scored. ``resume`` goes on from the tables, and the scored
     requests, of an earlier run of the same job; without it ``folder`` has to
-    be new. Both are checked before anything is written.
+    be new. Both are checked before anything is written. Scores are durable
+    after every ``rows_per_round`` requests of a partition.
     """
     spark = documents.sparkSession
     own = job_fingerprint(documents, recipe, model=model, instructions=instructions, prompt=prompt)
@@ -186,7 +186,7 @@ def run_job(
         nonlocal began
         now = time.perf_counter()
         event = {"batch_name": recipe.name, "step": name, "status": "completed", "duration_ms": (now - began) * 1000}
-        runlog.log_events(spark, f"{folder}/events", [event])
+        runlog.log_events(spark, f"{folder}/events", [event], keys=["batch_name", "step"])
         began = now
 
     def step(name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -201,8 +201,11 @@ def run_job(
     require_valid_requests(requests)
     step("manifest", lambda: write_shard_files(requests, folder, max_requests, max_bytes))
     chats = step("chats", lambda: chats_of(requests, model, prompt, recipe.contract))
-    records = score_resumable(chats, lambda c: answers_of(c, scorer, **inference), f"{folder}/records", rows_per_round)
-    done("records")
+
+    def scored() -> DataFrame:
+        return score_committed(chats, scorer, f"{folder}/scores", block_rows=rows_per_round, **inference)
+
+    records = step("records", lambda: output_records(scored(), keep=["seq"]))
     batch = F.lit(recipe.name).alias("batch")
     step("submissions", lambda: submission_summary(records.select("error", batch), ["batch"]))
     checked = step("checked", lambda: validate_outputs(records_as_outputs(records), recipe.contract))

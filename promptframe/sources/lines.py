@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promptframe.functions.answers import as_string, member, parse_whole
+from promptframe.functions.answers import as_string, parse_whole
 from promptframe.functions.frames import compute_once
 from promptframe.functions.text import strip
 
@@ -13,8 +13,6 @@ from promptframe.functions.text import strip
 NO_ANSWERS = ["errors.jsonl", "status_history.jsonl"]
 
 _PARTS = "array<struct<role:variant,content:array<variant>>>"
-_CONTENT = "array<struct<type:string,text:string>>"
-_TYPED_PARTS = f"array<struct<role:string,content:{_CONTENT}>>"
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -55,32 +53,18 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
     def variant(path: str) -> Column:
         return F.try_variant_get(v, path, "variant")
 
-    def item(role: Column, content: Column) -> Column:
-        return F.struct(F.coalesce(role, F.lit("user")).alias("role"), content.alias("content"))
-
-    def part(kind: Column, value: Column) -> Column:
+    def part(p: Column) -> Column:
+        bare = F.schema_of_variant(p) == "STRING"
+        kind = F.when(bare, F.lit("input_text")).otherwise(F.try_variant_get(p, "$.type", "string"))
+        value = F.when(bare, as_string(p)).otherwise(F.try_variant_get(p, "$.text", "string"))
         return F.struct(kind.alias("type"), F.coalesce(value, F.lit("")).alias("text"))
 
-    # Records as they should be take one typed read; only others are read member by member.
-    typed = F.transform(
-        F.try_variant_get(v, "$.body.input", _TYPED_PARTS),
-        lambda i: item(
-            i["role"],
-            F.transform(F.coalesce(i["content"], F.array().cast(_CONTENT)), lambda p: part(p["type"], p["text"])),
-        ),
-    )
-
-    def loose_part(p: Column) -> Column:
-        bare = F.schema_of_variant(p) == "STRING"
-        kind = F.when(bare, F.lit("input_text")).otherwise(as_string(member(p, "type")))
-        return part(kind, F.when(bare, as_string(p)).otherwise(as_string(member(p, "text"))))
+    def item(i: Column) -> Column:
+        parts = F.transform(F.coalesce(i["content"], F.array().cast("array<variant>")), part)
+        return F.struct(F.coalesce(as_string(i["role"]), F.lit("user")).alias("role"), parts.alias("content"))
 
-    loose = F.transform(
-        F.try_variant_get(v, "$.body.input", _PARTS),
-        lambda i: item(
-            as_string(i["role"]), F.transform(F.coalesce(i["content"], F.array().cast("array<variant>")), loose_part)
-        ),
-    )
+    # The list is read once; each part is then taken as what it is.
+    items = F.transform(F.try_variant_get(v, "$.body.input", _PARTS), item)
     fmt = F.when(
         variant("$.body.text.format").isNotNull(),
         F.struct(
@@ -98,7 +82,7 @@ def parse_requests(lines: DataFrame, line: str = "line") -> DataFrame:
         F.struct(
             text("$.body.model").alias("model"),
             text("$.body.instructions").alias("instructions"),
-            F.coalesce(typed, loose).alias("input"),
+            items.alias("input"),
             F.struct(fmt.alias("format")).alias("text"),
         ).alias("body"),
         v.isNull().alias("malformed"),

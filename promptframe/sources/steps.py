@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +57,11 @@ def read_evaluation(spark: SparkSession, path: str) -> dict:
 def append_rows(df: DataFrame, folder: str) -> None:
     """Append summary or manifest rows of a batch to a parquet table."""
     df.write.mode("append").parquet(folder)
+
+
+def put_rows(df: DataFrame, folder: str, keys: Sequence[str]) -> None:
+    """Write rows in place of all earlier ones that agree in ``keys``, whose values name the folders.
+
+    Writing the same rows again changes nothing, so a rerun adds none.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(folder)

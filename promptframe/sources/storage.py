@@ -33,3 +33,25 @@ def hidden_names(spark: SparkSession, folder: str) -> list[str]:
     place, files = _place(spark, folder)
     names = (s.getPath().getName() for s in files.listStatus(place) if s.isFile())
     return sorted(n for n in names if n.startswith(("_", ".")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly in ``folder``, sorted; none where there is no such folder."""
+    place, files = _place(spark, folder)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    place, files = _place(spark, folder)
+    files.mkdirs(place)
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    place, files = _place(spark, old)
+    if not files.rename(place, _place(spark, new)[0]):
+        raise OSError(f"cannot move {old} to {new}")
