@@ -10,12 +10,13 @@ of the hash: the running sum finds the bucket in which the budget ends, and
 only that bucket is counted again by the next bits, until it holds one hash.
 Nothing is sorted by document, and a source that holds a third of all rows is
 at most ``2 ** BITS`` rows a task. The document in which the budget ends is
-taken if that brings the source nearer to its target.
+taken if that brings the source nearer to its target. Rows that are alike in id,
+source and text have one hash; where the budget ends among them, as many are
+taken as bring the source nearest to its target. They are numbered in hashed
+shares, so no task sees all rows that are alike.
 
 Null text and text without words have size 0 and take no words. Null is a
-source of its own, after all others. Rows that are alike in id, source and
-text have one hash and are taken together. An empty table gives an empty
-table. Other columns pass through, whatever their names.
+source of its own, after all others. An empty table gives an empty table. Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from promptframe.llm.words import word_count
 from promptframe.scratch import Scratch, numbered
@@ -33,6 +35,8 @@ from promptframe.scratch import Scratch, numbered
 WEIGHTS, MOST = (5, 2, 1), 3
 
 BITS, LEVELS = 12, 5
+# Shares in which rows that are alike are numbered.
+SHARES = 4096
 BROADCAST_ROWS = 50_000
 WHOLE = "decimal(38,0)"
 
@@ -78,7 +82,10 @@ def source_targets(scratch: Scratch, sized: DataFrame, weights=WEIGHTS, most: in
 
 
 def thresholds(scratch: Scratch, sized: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
-    """``source, below``: documents with a smaller hash are taken once more. ``sized``: ``source, size, hash``."""
+    """``s, below, taken, alike``: rows with a smaller hash are taken once more, and ``taken`` of the ``alike`` rows with this hash.
+
+    ``sized``: ``source, size, hash``.
+    """
     wanted = plan.filter("need > 0 AND source_size > 0").select(F.col("source").alias("s"), "need")
     state = wanted.select("s", "need", F.lit(0).cast("long").alias("path"), F.lit(0).cast("long").alias("before"))
     ended = []
@@ -88,45 +95,28 @@ def thresholds(scratch: Scratch, sized: DataFrame, plan: DataFrame, sources: int
         counted = (
             sized.join(_small(state, sources), inside)
             .groupBy("s", "need", "before", F.shiftright("hash", shift).alias("bucket"))
-            .agg(F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high"))
+            .agg(F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.count("*").alias("n"))
         )
         # Both steps see at most 2 ** BITS buckets of a source.
-        buckets = F.sort_array(F.collect_list(F.struct("bucket", "words", "low", "high")))
+        buckets = F.sort_array(F.collect_list(F.struct("bucket", "words", "low", "high", "n")))
+        fields = ("bucket", "words", "low", "high", "n")
+
+        def state_of(total: Column, of: Column | None) -> Column:
+            rest = [(of[c] if of is not None else F.lit(None).cast("long")).alias(c) for c in fields]
+            return F.struct(total.alias("sum"), *rest)
+
         running = F.aggregate(
             F.col("buckets"),
-            F.struct(
-                F.col("before").alias("sum"),
-                F.lit(None).cast("long").alias("bucket"),
-                F.lit(None).cast("long").alias("words"),
-                F.lit(None).cast("long").alias("low"),
-                F.lit(None).cast("long").alias("high"),
-            ),
+            state_of(F.col("before"), None),
             lambda a, b: F.when(a["bucket"].isNotNull(), a)
-            .when(
-                a["sum"] + b["words"] > F.col("need"),
-                F.struct(
-                    a["sum"].alias("sum"),
-                    b["bucket"].alias("bucket"),
-                    b["words"].alias("words"),
-                    b["low"].alias("low"),
-                    b["high"].alias("high"),
-                ),
-            )
-            .otherwise(
-                F.struct(
-                    (a["sum"] + b["words"]).alias("sum"),
-                    a["bucket"].alias("bucket"),
-                    a["words"].alias("words"),
-                    a["low"].alias("low"),
-                    a["high"].alias("high"),
-                )
-            ),
+            .when(a["sum"] + b["words"] > F.col("need"), state_of(a["sum"], b))
+            .otherwise(state_of(a["sum"] + b["words"], a)),
         )
         found = (
             counted.groupBy("s", "need", "before")
             .agg(buckets.alias("buckets"))
             .select("s", "need", running.alias("at"))
-            .select("s", "need", F.col("at.bucket").alias("path"), F.col("at.sum").alias("before"), "at.words", "at.low", "at.high")
+            .select("s", "need", F.col("at.bucket").alias("path"), F.col("at.sum").alias("before"), "at.words", "at.low", "at.high", "at.n")
             .filter("path IS NOT NULL")
         )
         found = scratch.store(found, f"level{level}")
@@ -137,8 +127,20 @@ def thresholds(scratch: Scratch, sized: DataFrame, plan: DataFrame, sources: int
     last = ended[0]
     for more in ended[1:]:
         last = last.unionByName(more)
-    nearer = F.col("before") + F.col("words") - F.col("need") < F.col("need") - F.col("before")
-    return last.select("s", (F.col("low") + nearer.cast("long")).alias("below"))
+    # The nearest number of rows of one size; half a row is left.
+    taken = F.ceil((F.col("need") - F.col("before")) * F.col("n") / F.col("words") - 0.5)
+    return last.select("s", F.col("low").alias("below"), F.greatest(taken, F.lit(0)).cast("long").alias("taken"), F.col("n").alias("alike"))
+
+
+def number_alike(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``s``) and ``rank``, their number from 0 within ``s``, counted by shares."""
+    dealt = rows.withColumn("share", F.pmod(F.monotonically_increasing_id(), F.lit(SHARES)))
+    earlier = Window.partitionBy("s").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("s", "share").agg(F.count("*").alias("n"))
+    before = counts.select(F.col("s").alias("b_s"), F.col("share").alias("b_share"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("s", "share").orderBy("hash")) - 1
+    same = F.col("s").eqNullSafe(F.col("b_s")) & (F.col("share") == F.col("b_share"))
+    return dealt.withColumn("within", within).join(before, same).withColumn("rank", F.col("before") + F.col("within"))
 
 
 def mix_sources(
@@ -167,7 +169,7 @@ def mix_sources(
     cuts = thresholds(scratch, sized.select("source", "size", "hash"), plan, sources)
     ready = scratch.store(
         plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").select(
-            F.col("source").alias("s"), "source_size", "target", "repeats", "below"
+            F.col("source").alias("s"), "source_size", "target", "repeats", "below", "taken", "alike"
         ),
         "ready",
     )
@@ -180,7 +182,17 @@ def mix_sources(
         )
     else:
         rows = sized.select(F.struct("doc_id").alias("doc"), "source", "size", "hash")
-    extra = F.coalesce((F.col("hash") < F.col("below")).cast("long"), F.lit(0))
-    return rows.join(_small(ready, sources), F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc", "size", "source_size", "target", (F.col("repeats") + extra).alias("copies")
-    )
+    joined = rows.join(_small(ready, sources), F.col("source").eqNullSafe(F.col("s")))
+    # Null where all rows of the source are taken equally often.
+    edge = F.coalesce((F.col("hash") == F.col("below")) & (F.col("alike") > 1), F.lit(False))
+
+    def mixed(some: DataFrame, extra: Column) -> DataFrame:
+        copies = F.col("repeats") + F.coalesce(extra.cast("long"), F.lit(0))
+        return some.select("doc", "size", "source_size", "target", copies.alias("copies"))
+
+    one = (F.col("hash") < F.col("below")) | ((F.col("hash") == F.col("below")) & (F.col("taken") > 0))
+    out = mixed(joined.filter(~edge), one)
+    if ready.filter("alike > 1").isEmpty():
+        return out
+    alike = number_alike(scratch.store(joined.filter(edge), "alike"))
+    return out.unionByName(mixed(alike, F.col("rank") < F.col("taken")))

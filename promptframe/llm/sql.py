@@ -67,11 +67,13 @@ WITH sized AS (
 ), placed AS (
   SELECT s.doc_id, s.size, p.source_size, p.target, p.repeats, p.target - p.repeats * p.source_size::DOUBLE AS need,
          sum(s.size) OVER (PARTITION BY s.source ORDER BY s.hash) AS upto,
-         sum(s.size) OVER (PARTITION BY s.source, s.hash) AS own
+         sum(s.size) OVER (PARTITION BY s.source, s.hash) AS own,
+         count(*) OVER (PARTITION BY s.source, s.hash) AS alike,
+         row_number() OVER (PARTITION BY s.source, s.hash) AS place
   FROM sized s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source
 )
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
-       (size * (repeats + CASE WHEN upto <= need OR (upto - own <= need AND upto - need < need - (upto - own)) THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * (repeats + CASE WHEN upto <= need OR (upto - own <= need AND place <= ceil((need - (upto - own)) * alike / own - 0.5)) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """
 
