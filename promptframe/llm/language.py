@@ -6,12 +6,20 @@ end of each phrase in one step a byte. The fewer phrases, normalised by the
 logarithm of the training size (what it costs to name one phrase), the closer
 the text is to the language; the language with the least cost wins.
 
-Training reads a sample of at most ``SAMPLE_ROWS`` labelled rows a language, in
-the order of a hash of id and text, and of each at most ``SAMPLE_CHARS``
-characters from a place that the hash names. The automaton of a language has at
-most twice as many states as its sample has bytes and travels as one table of
-transitions. Prediction reads whole texts, cut into segments of ``SEGMENT``
-bytes that are parsed side by side; a phrase ends with its segment.
+Training reads whole texts of a sample of labelled rows. Rows that agree in id and
+text are one; in the order of a hash of both, after the texts above ``LONG_TEXT``
+bytes, a language takes up to ``SAMPLE_ROWS`` rows, and no further row once it has
+``SAMPLE_BYTES`` of text; the last row is taken whole. Where the tables of all
+languages would exceed ``MODEL_BYTES``, each language leaves out last rows. Only a
+language whose first row alone is too long for its share learns from that row's
+beginning. The automaton of a language has at most twice as many states as its
+sample has bytes and travels as one table of transitions.
+
+Prediction reads whole texts. Long ones are parsed in segments of ``SEGMENT``
+bytes side by side, each as if a phrase began there, with the places noted at which
+phrases begin. The parse of the whole text then enters each segment where its last
+phrase ends and goes on phrase by phrase until it meets a noted place, from where
+both are the same; so phrases are those of the plain parse.
 
 Case is ignored, and all that is no letter counts as one space. Texts that are
 null or without a letter are ``und`` with score 0, as are all texts where there
@@ -23,8 +31,8 @@ columns pass through, whatever their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +42,14 @@ from pyspark.sql.window import Window
 
 from promptframe.llm.words import beside
 
-SAMPLE_ROWS, SAMPLE_CHARS = 120, 400
-# All training text together, in bytes.
-SAMPLE_BYTES = 1 << 20
-SEGMENT = 1024
+# A language's sample, and the tables of all of them together.
+SAMPLE_ROWS, SAMPLE_BYTES, LONG_TEXT = 120, 1 << 16, 1 << 15
+MODEL_BYTES = 256 << 20
+SEGMENT = 2048
 # Bytes of text that are parsed side by side.
 BATCH_BYTES = 4 << 20
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _KEPT = bytes(x if x >= 128 or chr(x).isalpha() else 32 for x in range(256))
 
 
@@ -122,34 +129,63 @@ class Model:
         lengths = np.array([len(x) for x in texts], np.int64)
         segments = -(-lengths // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), segments)
+        out = np.zeros((len(texts), len(self.names)), np.int64)
+        if not len(owner):
+            return out
         first = np.cumsum(lengths) - lengths
         place = np.arange(len(owner)) - np.repeat(np.cumsum(segments) - segments, segments)
         begin = first[owner] + place * SEGMENT
         size = np.minimum(SEGMENT, lengths[owner] - place * SEGMENT)
         order = np.argsort(-size, kind="stable")  # lanes that end early are at the end
-        begin, size, owner = begin[order], size[order], owner[order]
+        begin, size = begin[order], size[order]
         data = self.symbol_of[np.frombuffer(b"".join(texts), np.uint8)]
-        out = np.zeros((len(texts), len(self.names)), np.int64)
-        if not len(owner):
-            return out
         lanes = np.searchsorted(-size, -np.arange(size[0]), side="left")
         states = [np.zeros(len(owner), np.int32) for _ in self.steps]
-        ended = [np.ones(len(owner), np.int32) for _ in self.steps]
+        begins = [np.zeros(len(data), bool) for _ in self.steps]
         for t in range(int(size[0])):
             n = lanes[t]
-            symbol = data[begin[:n] + t]
-            for steps, state, count in zip(self.steps, states, ended):
+            at = begin[:n] + t
+            symbol = data[at]
+            for steps, state, noted in zip(self.steps, states, begins):
                 step = steps.take(state[:n].astype(np.int64) * self.symbols + symbol)
                 over = step >> 31  # -1 where a phrase ended
-                count[:n] -= over
+                noted[at] = over
                 np.bitwise_xor(step, over, out=state[:n])
-        for k, count in enumerate(ended):
-            out[:, k] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
+        for noted in begins:
+            noted[begin] = True
+        for k, (steps, noted) in enumerate(zip(self.steps, begins)):
+            upto = np.concatenate([[0], np.cumsum(noted)])
+            out[:, k] = upto[first + lengths] - upto[first]
+            for text in np.flatnonzero(segments > 1).tolist():
+                out[text, k] = self._joined(steps, data, noted, int(first[text]), int(first[text] + lengths[text]))
         return out
 
+    def _joined(self, steps: np.ndarray, data: np.ndarray, noted: np.ndarray, start: int, stop: int) -> int:
+        """Phrases of the text in ``data[start:stop]``, from where its segments' phrases begin."""
+        total, at = 0, start
+        for low in range(start, stop, SEGMENT):
+            high = min(low + SEGMENT, stop)
+            while at < high and not noted[at]:
+                total, at = total + 1, self._phrase_end(steps, data, at, stop)
+            if at < high:
+                met = np.flatnonzero(noted[at:high])
+                total += len(met)
+                at = self._phrase_end(steps, data, at + int(met[-1]), stop)
+        return total
+
+    def _phrase_end(self, steps: np.ndarray, data: np.ndarray, at: int, stop: int) -> int:
+        state = max(0, int(steps[data[at]]))
+        at += 1
+        while at < stop:
+            state = int(steps[state * self.symbols + data[at]])
+            if state < 0:
+                break
+            at += 1
+        return at
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out = [(UNKNOWN, 0.0)] * len(texts)
-        at = [i for i, x in enumerate(texts) if x and self.names and _LETTER.search(x)]
+        at = [i for i, x in enumerate(texts) if x and self.names and any(map(str.isalpha, x))]
         begin = 0
         while begin < len(at):
             some, chosen, total = [], [], 0
@@ -167,22 +203,37 @@ class Model:
         return out
 
 
+def within(texts: dict[str, list[bytes]], most: int) -> dict[str, bytes]:
+    """Training texts whose tables have at most ``most`` bytes: last rows are left out, of the first only what is too long."""
+    symbols = len(set(b"".join(chain(*texts.values())))) + 2
+    share = max(1, most // (8 * symbols * max(1, len(texts))))
+    out = {}
+    for name, rows in texts.items():
+        sizes = np.cumsum([len(x) + 1 for x in rows])
+        out[name] = b" ".join(rows[: max(1, int(np.searchsorted(sizes, share, side="right")))])[:share]
+    return out
+
+
 def learn(docs: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model from the labelled rows for which ``allowed`` holds."""
-    order = F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
-    span = F.greatest(F.char_length(F.col(text)) - SAMPLE_CHARS, F.lit(0)) + 1
-    snippet = F.substring(F.col(text), (F.pmod(order, span) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-    rows = docs.filter(allowed).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    rows = rows.select(F.col(lang).cast("string").alias("lang"), order.alias("hash"), snippet.alias("snippet"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "snippet"))
-    sample = rows.withColumn("place", place).filter(F.col("place") <= SAMPLE_ROWS).orderBy("lang", "place").collect()
-    texts: dict[str, list[bytes]] = {}
-    for row in sample:
-        own = normalise(row["snippet"])
+    some = docs.filter(allowed & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    key = F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("hash")
+    size = F.octet_length(F.col(text)).cast("long")
+    rows = some.select(F.col(lang).cast("string").alias("lang"), key, size.alias("size")).distinct()
+    order = Window.partitionBy("lang").orderBy(F.col("size") > LONG_TEXT, "hash", "size")
+    sample = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_ROWS)
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sample = sample.withColumn("before", before).filter(F.col("before") < SAMPLE_BYTES)
+    # At most SAMPLE_ROWS rows a language, with hashes in place of texts.
+    wanted = F.broadcast(sample.select(F.col("lang").alias("s_lang"), F.col("hash").alias("s_hash"), "place"))
+    texts = some.select(F.col(lang).cast("string").alias("lang"), key, F.col(text).alias("body"))
+    found = texts.join(wanted, (F.col("lang") == F.col("s_lang")) & (F.col("hash") == F.col("s_hash"))).dropDuplicates(["lang", "place"])
+    by_lang: dict[str, list[bytes]] = {}
+    for row in found.select("lang", "place", "body").orderBy("lang", "place").toLocalIterator():
+        own = normalise(row["body"])
         if own:
-            texts.setdefault(row["lang"], []).append(own)
-    share = SAMPLE_BYTES // max(1, len(texts))
-    return Model({name: b" ".join(own)[:share] for name, own in texts.items()})
+            by_lang.setdefault(row["lang"], []).append(own)
+    return Model(within(by_lang, MODEL_BYTES))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:

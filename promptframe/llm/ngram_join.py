@@ -430,6 +430,11 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     scratch.settle()
     near = connected(scratch, candidates(scratch, classes, percent), "near")
     near = near.select("node", F.col("component").alias("grp"))
+    # From here on classes are named only; signatures and sketches can go.
+    slim = scratch.store(classes.select("node", "doc", "c1", "c2", "size"), "named")
+    scratch.drop("classes", "shared", "members")
+    scratch.settle()
+    classes = slim
     grouped = scratch.store(near.join(classes.select("node", "size"), "node"), "grouped")
     sizes = scratch.store(grouped.groupBy(F.col("grp").alias("g")).agg(F.count("*").alias("n"), F.sum("size").alias("all")), "sizes")
     # A block has so many classes, and so many shingles, at most about.
@@ -447,7 +452,8 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     known = of_class.join(smallest, "component").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "component", "component_id")
     known = scratch.store(known, "known")
     same = (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")) & (F.col("size") > 0)
-    scratch.drop("sets", "classes", "grouped", "sizes", "shared", "members")
+    scratch.drop("sets", "named", "grouped", "sizes")
+    scratch.settle()
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc.id"))
     return rows_slim.join(known, same, "left").select("doc", "size", "component", own.alias("component_id"))
 
@@ -460,8 +466,14 @@ def representatives(scratch: Scratch, docs: DataFrame, doc_id: str = "doc_id", t
     """
     found = memberships(scratch, docs, doc_id, text, width, percent)
     first = found.filter("size > 0").groupBy("component").agg(F.min("doc").alias("doc")).select("doc")
-    kept = scratch.store(first.unionByName(found.filter("size = 0").select("doc")).distinct(), "kept")
-    k = kept.select(F.col("doc.none").alias("k_none"), F.col("doc.id").alias("k_id"), F.col("doc.text").alias("k_text"))
+    times = found.groupBy("doc").agg(F.count("*").alias("k_times"))
+    chosen = first.unionByName(found.filter("size = 0").select("doc")).distinct()
+    kept = scratch.store(chosen.join(times, "doc"), "kept")
+    scratch.settle()
+    k = kept.select(F.col("doc.none").alias("k_none"), F.col("doc.id").alias("k_id"), F.col("doc.text").alias("k_text"), "k_times")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _doc(doc_id, text).alias("own"))
     same = (F.col("own.none") == F.col("k_none")) & F.col("own.id").eqNullSafe(F.col("k_id")) & (F.col("own.text") == F.col("k_text"))
-    return whole.join(k, same, "left_semi").dropDuplicates(["own"]).select("row.*")
+    stay = whole.join(k, same)
+    # Only rows that repeat move once more.
+    alone, repeated = stay.filter("k_times = 1"), stay.filter("k_times > 1").dropDuplicates(["own"])
+    return alone.select("row.*").unionByName(repeated.select("row.*"))

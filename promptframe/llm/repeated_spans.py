@@ -18,8 +18,10 @@ extended only if it bounds a suffix pair not seen before, and it stops at
 ``length``, so pairs never reached share at least that many bytes. Many small
 groups go into one transform of about ``CHUNK`` bytes. Anchors with more than
 ``GROUP`` different fragments, as of a passage that a third of all documents
-hold, would make one task's group too large; their windows are counted one by
-one by a 128-bit hash, combined before the shuffle, with the same result.
+hold, would make one task's group too large, and no split by the bytes around the
+anchor bounds it, as what differs may lie at the windows' ends. Their windows are
+counted one by one by a 128-bit rolling hash, combined before the shuffle, with
+the same result.
 
 Null text is empty. Rows that repeat an id and text are documents that repeat
 each other. Null ids are ids like any other. Texts shorter than ``length`` stay
@@ -37,16 +39,17 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from promptframe.scratch import Scratch
 
-LENGTH, ANCHOR = 200, 100
+LENGTH, ANCHOR = 200, 64
 # Different fragments of a group that one task takes; bytes of one transform.
 GROUP, CHUNK = 4096, 1 << 20
 # Windows of a text that are hashed at once.
 STEP = 1 << 15
 
-_BASE = 0x9E3779B97F4A7C15
+_BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _WORD = 1 << 64
 
 
@@ -55,25 +58,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class Rolling:
+    """Hashes of all strings of one length in up to ``size`` bytes, by running sums."""
+
+    def __init__(self, base: int, size: int):
+        one = np.ones(1, np.uint64)
+        self.size = size
+        self.table = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base)) | np.uint64(1)
+        self.up = np.cumprod(np.concatenate([one, np.full(size, base, np.uint64)]), dtype=np.uint64)
+        self.down = np.cumprod(np.concatenate([one, np.full(size, pow(base, -1, _WORD), np.uint64)]), dtype=np.uint64)
+
+    def hashes(self, part: np.ndarray, k: int) -> np.ndarray:
+        n = len(part)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.table[part] * self.up[:n], dtype=np.uint64)])
+        return _mixed((sums[k:] - sums[:-k]) * self.down[: n - k + 1])
+
+
 class Windows:
     """Runs of windows with a common anchor."""
 
     def __init__(self, length: int, anchor: int):
         self.length, self.anchor = length, anchor
-        size = STEP + length
-        one = np.ones(1, np.uint64)
-        self.table = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
-        self.up = np.cumprod(np.concatenate([one, np.full(size, _BASE, np.uint64)]), dtype=np.uint64)
-        self.down = np.cumprod(np.concatenate([one, np.full(size, pow(_BASE, -1, _WORD), np.uint64)]), dtype=np.uint64)
+        self.rolling = Rolling(_BASE, STEP + length)
 
     def runs(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """First and last start of each run, its anchor's hash, and the anchor's place after the first start."""
         k, length = self.anchor, self.length
         for at in range(0, len(data) - length + 1, STEP):
             part = np.frombuffer(data, np.uint8)[at : at + STEP + length - 1]
-            n = len(part)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.table[part] * self.up[:n], dtype=np.uint64)])
-            hashes = _mixed((sums[k:] - sums[:-k]) * self.down[: n - k + 1])
+            hashes = self.rolling.hashes(part, k)
             least = np.lib.stride_tricks.sliding_window_view(hashes, length - k + 1).argmin(axis=1)
             place = least + np.arange(len(least))
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
@@ -254,29 +267,51 @@ def _spans_by_transform(some: DataFrame, length: int) -> DataFrame:
     return some.mapInArrow(find, "doc struct<id:string,text:bigint>, start long, end long")
 
 
-def _spans_by_count(some: DataFrame, length: int) -> DataFrame:
+def _windows_of(fragments: list[bytes], length: int, rolling: list[Rolling]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of every window of the fragments, each of at least ``length`` bytes: the fragment, the place in it, two hashes."""
+    owners, places, hashes, at = [], [], [[] for _ in rolling], 0
+    while at < len(fragments):
+        stop, size = at, 0
+        while stop < len(fragments) and (stop == at or size + len(fragments[stop]) <= rolling[0].size):
+            size += len(fragments[stop])
+            stop += 1
+        sizes = np.array([len(x) for x in fragments[at:stop]])
+        owner = np.repeat(np.arange(at, stop), sizes)
+        place = np.arange(size) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        whole = place + length <= np.repeat(sizes, sizes)
+        owners.append(owner[whole])
+        places.append(place[whole])
+        data = np.frombuffer(b"".join(fragments[at:stop]), np.uint8)
+        for found, one in zip(hashes, rolling):
+            found.append(one.hashes(data, length)[whole[: size - length + 1]].view(np.int64))
+        at = stop
+    return np.concatenate(owners), np.concatenate(places), [np.concatenate(h) for h in hashes]
+
+
+def _spans_by_count(scratch: Scratch, some: DataFrame, length: int) -> DataFrame:
     """The same by counting windows, for anchors with many fragments."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A fragment is less than two windows long.
+        rolling = [Rolling(base, max(STEP, 2 * length)) for base in (_BASE, _BASE2)]
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                owner, first, h1, h2 = [], [], [], []
-                for row, (start, data) in enumerate(zip(part.column("first").to_pylist(), part.column("bytes").to_pylist())):
-                    for k in range(len(data) - length + 1):
-                        whole = xxhash.xxh3_128_intdigest(data[k : k + length])
-                        owner.append(row)
-                        first.append(start + k)
-                        h1.append(whole & (_WORD - 1))
-                        h2.append(whole >> 64)
-                keys = [pa.array(np.array(h, np.uint64).view(np.int64)) for h in (h1, h2)]
-                taken = [part.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "single")]
-                yield pa.RecordBatch.from_arrays([*taken, pa.array(first, pa.int64()), *keys], names=["doc", "single", "start", "h1", "h2"])
+                owner, place, keys = _windows_of(part.column("bytes").to_pylist(), length, rolling)
+                start = part.column("first").to_numpy()[owner] + place
+                taken = [part.column(c).take(pa.array(owner)) for c in ("doc", "single")]
+                columns = [*taken, pa.array(start), *[pa.array(k) for k in keys]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "single", "start", "h1", "h2"])
 
     each = some.mapInArrow(windows, "doc struct<id:string,text:bigint>, single boolean, start long, h1 long, h2 long")
-    again = each.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    found = each.filter("single").join(again, ["h1", "h2"], "left_semi")
-    return found.select("doc", "start", (F.col("start") + length).alias("end"))
+    # Stored, as it is read twice, and so that a window with very many places can be split.
+    each = scratch.store(each, "windows")
+    again = scratch.store(each.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"), "windows_again")
+    found = each.filter("single").join(again, ["h1", "h2"], "left_semi").select("doc", "start")
+    # Starts that follow each other are one span.
+    run = F.col("start") - F.dense_rank().over(Window.partitionBy("doc").orderBy("start"))
+    spans = found.withColumn("run", run).groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("start").alias("last"))
+    return spans.select("doc", "start", (F.col("last") + length).alias("end"))
 
 
 def repeated_spans(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -295,12 +330,12 @@ def repeated_spans(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, le
     )
     cut = scratch.store(_extracted(wanted, _packed(docs, doc_id, text), length), "cut")
     together = cut.filter("NOT many").repartition("anchor").sortWithinPartitions("anchor")
-    parts = _spans_by_transform(together, length).unionByName(_spans_by_count(cut.filter("many"), length))
+    parts = _spans_by_transform(together, length).unionByName(_spans_by_count(scratch, cut.filter("many"), length))
     whole = again.join(different.filter("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
     whole = whole.select("doc", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     spans = whole.unionByName(parts).groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     spans = scratch.store(spans.select(F.col("doc").alias("s_doc"), "spans"), "spans")
-    scratch.drop("again", "different", "groups", "cut")
+    scratch.drop("again", "different", "groups", "cut", "windows", "windows_again")
     return spans
 
 

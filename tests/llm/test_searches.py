@@ -60,6 +60,37 @@ def test_long_texts_are_read_whole():
     assert language.Model({}).predict(["abc"]) == [("und", 0.0)]
 
 
+def test_phrases_of_long_texts_are_those_of_the_plain_parse():
+    rnd = random.Random(9)
+    training = {"x": "".join(rnd.choice("abc ") for _ in range(300)).encode(), "y": ("abc" * 900 + "cab ").encode()}
+    model = language.Model(training)
+    size = language.SEGMENT
+    some = ["".join(rnd.choice("abc ") for _ in range(n)) for n in (1, size - 1, size, size + 1, 10_000, 5 * size + 7)]
+    # Phrases longer than a segment, and parses that meet late.
+    some += ["abc" * 4000, "ab" + "abc" * 3000 + "b" + "cab" * 2500, "a" * 9000, "abcab" * 2000]
+    some = [x.encode() for x in some]
+    got = model.phrases(some)
+    for text, row in zip(some, got):
+        assert row.tolist() == [phrases(text, training[name]) for name in model.names]
+    assert model.phrases(some[::-1]).tolist() == got[::-1].tolist()
+
+
+def test_language_sample_holds_whole_different_texts(spark):
+    rows = [(1, "uno dos tres cuatro " * 30, "es", "a")] * 3000 + [(i, f"der die das {i} und nicht " * 5, "de", "a") for i in range(2, 90)]
+    rows += [(i, f"el perro y la casa {i} " * 4, "es", "a") for i in range(90, 150)] + [(200, "le la les " * 20_000, "fr", "a")]
+    model = language.learn(frames.docs(spark, rows), F.lit(True))
+    assert model.names == ["de", "es", "fr"]
+    assert model.predict(["el perro y la casa", "der die das und nicht", "le la les", "² ½ ① 12"])[3] == ("und", 0.0)
+    assert [x[0] for x in model.predict(["el perro y la casa", "der die das und nicht", "le la les"])] == ["es", "de", "fr"]
+
+
+def test_training_texts_are_bounded_by_rows():
+    texts = {"a": [b"x" * 40, b"y" * 40, b"z" * 40], "b": [b"q" * 1000, b"r"]}
+    assert language.within(texts, 1 << 20) == {"a": b" ".join(texts["a"]), "b": b" ".join(texts["b"])}
+    few = language.within(texts, 8 * 7 * 2 * 100)
+    assert few == {"a": b" ".join(texts["a"][:2]), "b": b"q" * 100}
+
+
 def test_language_accuracy(spark):
     truth = {r["doc_id"]: r["lang"] for r in table(spark, MEDIUM, "documents").collect()}
     found = QUERIES["op1_cross_parsing"](spark, MEDIUM).collect()
