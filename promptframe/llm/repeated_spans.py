@@ -35,7 +35,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,10 +67,16 @@ class Rolling:
         self.up = np.cumprod(np.concatenate([one, np.full(size, base, np.uint64)]), dtype=np.uint64)
         self.down = np.cumprod(np.concatenate([one, np.full(size, pow(base, -1, _WORD), np.uint64)]), dtype=np.uint64)
 
+    def sums(self, part: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.table[part] * self.up[: len(part)], dtype=np.uint64)])
+
     def hashes(self, part: np.ndarray, k: int) -> np.ndarray:
-        n = len(part)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.table[part] * self.up[:n], dtype=np.uint64)])
-        return _mixed((sums[k:] - sums[:-k]) * self.down[: n - k + 1])
+        sums = self.sums(part)
+        return _mixed((sums[k:] - sums[:-k]) * self.down[: len(part) - k + 1])
+
+    def between(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the strings from ``start`` to ``end``."""
+        return _mixed((sums[end] - sums[start]) * self.down[start])
 
 
 class Windows:
@@ -79,10 +84,10 @@ class Windows:
 
     def __init__(self, length: int, anchor: int):
         self.length, self.anchor = length, anchor
-        self.rolling = Rolling(_BASE, STEP + length)
+        self.rolling, self.content = Rolling(_BASE, STEP + length), Rolling(_BASE2, STEP + length)
 
     def runs(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """First and last start of each run, its anchor's hash, and the anchor's place after the first start."""
+        """First and last start of each run, its anchor's hash, and a hash of its fragment and the anchor's place in it."""
         k, length = self.anchor, self.length
         for at in range(0, len(data) - length + 1, STEP):
             part = np.frombuffer(data, np.uint8)[at : at + STEP + length - 1]
@@ -91,7 +96,9 @@ class Windows:
             place = least + np.arange(len(least))
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             last = np.concatenate([first[1:], [len(place)]]) - 1
-            yield first + at, last + at, hashes[place[first]].view(np.int64), place[first] - first
+            form = ((place[first] - first) * (2 * length) + last - first).astype(np.uint64)
+            whole = self.content.between(self.content.sums(part), first, last + length)
+            yield first + at, last + at, hashes[place[first]].view(np.int64), _mixed(whole + form).view(np.int64)
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -103,7 +110,8 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         key = (key << 9) | padded[k : k + n]
     known = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        # Ties share what was read so far, so their order does not matter.
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
@@ -123,7 +131,7 @@ def long_prefixes(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarr
     n = len(symbols)
     order = suffix_order(symbols, depth)
     transform = np.where(order > 0, symbols[order - 1], 0)
-    by_symbol = np.argsort(transform, kind="stable")
+    by_symbol = np.argsort(transform.astype(np.uint16), kind="stable")
     back = np.empty(n, np.int64)  # the place of the suffix that is one symbol longer
     back[by_symbol] = np.arange(n)
     same = transform[by_symbol[1:]] == transform[by_symbol[:-1]]
@@ -200,11 +208,9 @@ def fragments(docs: DataFrame, doc_id: str, text: str, length: int, anchor: int)
                 owner, columns = [], [[], [], [], []]
                 for row, one in enumerate(part.column(1)):
                     data = one.as_py().encode()
-                    for first, last, hashes, place in windows.runs(data):
-                        pairs = zip(first.tolist(), last.tolist(), place.tolist())
-                        content = [xxhash.xxh3_64_intdigest(data[a : b + length], p * length + b - a) for a, b, p in pairs]
+                    for first, last, hashes, content in windows.runs(data):
                         owner.append(np.full(len(first), row))
-                        for column, values in zip(columns, (hashes, np.array(content, np.uint64).view(np.int64), first, last)):
+                        for column, values in zip(columns, (hashes, content, first, last)):
                             column.append(values)
                 if owner:
                     docs_of = part.column(0).take(pa.array(np.concatenate(owner)))
