@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import corpus as C
@@ -14,6 +14,7 @@ from promptframe.functions.text import (
     token_estimate,
 )
 from promptframe.operators import chain, evaluate, inference, ordering, render, reports, runlog, sharding, truth, validate
+from promptframe.operators.schema import SchemaContract
 from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT, contract_from_json_schema
 from promptframe.plans import job, recipes
 from promptframe.session import durable
@@ -440,6 +441,55 @@ def wide_contract(spark: SparkSession, folder: str) -> DataFrame:
     return validate.validate_outputs(lines, contract_from_json_schema(WIDE_SCHEMA)).select("custom_id", "status")
 
 
+PART_SCHEMA = {
+    "$ref": "#/$defs/Part",
+    "$defs": {
+        "Part": {
+            "type": "object",
+            "properties": {
+                "name": {"type": "string", "minLength": 1},
+                "parts": {"type": "array", "items": {"$ref": "#/$defs/Part"}},
+                "counts": {"type": "object", "additionalProperties": {"type": "integer"}},
+                "size": {"oneOf": [{"type": "integer", "multipleOf": 2}, {"type": "integer", "multipleOf": 3}]},
+                "code": {"allOf": [{"type": "string"}, {"pattern": "^x"}]},
+            },
+            "required": ["name"],
+            "additionalProperties": False,
+        }
+    },
+}
+DEEP = 3
+
+
+def recursive_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers against a schema that refers to itself, with every form of composition broken once."""
+    doc = F.col("doc_id").cast("string")
+
+    def text(*parts) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    answer = C.by_rest(
+        12,
+        {
+            0: text('{"name":"', doc, '"}'),
+            1: text('{"name":"a","parts":[{"name":"', doc, '","parts":[{"name":"c"}]}]}'),
+            2: text('{"name":"a","parts":[{"name":"', doc, '"},{"name":""}]}'),
+            3: text('{"name":"a","counts":{"x":', doc, "}}"),
+            4: text('{"name":"a","counts":{"x":', doc, ',"y":"many"}}'),
+            5: text('{"name":"a","size":4}'),
+            6: text('{"name":"a","size":6}'),
+            7: text('{"name":"a","code":"x', doc, '"}'),
+            8: text('{"name":"a","code":"', doc, '"}'),
+            9: text('{"parts":[{}]}'),
+            10: text('{"name":"a","parts":[' * DEEP, '{"name":"b","other":', doc, "}", "]}" * DEEP),
+            11: text("[", doc, "]"),
+        },
+    )
+    lines = C.corpus(spark, folder).select("custom_id", answer.alias("raw_text"))
+    lines = lines.withColumns({"error": F.lit(None).cast("string"), "malformed": F.lit(False)})
+    return validate.validate_outputs(lines, SchemaContract(PART_SCHEMA)).select("custom_id", "status", "message")
+
+
 # Ground truth and evaluation
 
 
@@ -626,7 +676,7 @@ QUERIES = {
         request_violations, request_summary, duplicate_ids,
         ordinals, shards_by_count, shards_by_bytes, review,
         responses, usage, submissions, scored_requests,
-        output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract,
+        output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract, recursive_contract,
         truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary, summary_auc,
         raw_predictions, roc, auc, result_columns, results,
         stage_stats, histogram, counters, status_changes, state_age, progress,

@@ -249,6 +249,16 @@ ORACLES = {
       FROM corpus""",
     "wide_contract": f"""WITH {_CORPUS} SELECT custom_id,
       CASE WHEN doc_id % 20 IN (0, 18, 19) THEN 'valid' ELSE 'invalid' END AS status FROM corpus""",
+    "recursive_contract": f"""WITH {_CORPUS}, told AS (SELECT custom_id, CASE doc_id % 12
+        WHEN 2 THEN 'parts[1].name: expected string minLength 1'
+        WHEN 4 THEN 'counts.y: expected integer'
+        WHEN 6 THEN 'size: expected exactly one of the options'
+        WHEN 8 THEN 'code: expected value pattern ^x'
+        WHEN 9 THEN 'name: missing; parts[0].name: missing'
+        WHEN 10 THEN repeat('parts[0].', 3) || 'other: expected nothing here'
+        WHEN 11 THEN 'answer: expected object' END AS wrong FROM corpus)
+      SELECT custom_id, CASE WHEN wrong IS NULL THEN 'valid' ELSE 'invalid' END AS status,
+        'Schema validation error: ' || wrong AS message FROM told""",
     "truth_labels": f"WITH {_TRUTH} SELECT filename, label FROM truth",
     "truth_prefix": f"WITH {_CORPUS} SELECT custom_id, {_PREFIX} AS by_prefix FROM corpus",
     "predictions": f"{_EVAL} SELECT custom_id, ground_truth, predicted, confidence FROM predicted",

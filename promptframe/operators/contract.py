@@ -161,7 +161,7 @@ FORMATS = {
     "uri": r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$",
 }
 # Keywords that name or explain, and those that the compiler reads itself.
-_NOTES = {"title", "description", "default", "examples", "$defs", "$schema", "$id", "deprecated", "readOnly", "writeOnly"}
+_NOTES = {"title", "description", "default", "examples", "$defs", "$schema", "$id", "deprecated", "readOnly", "writeOnly", "discriminator"}
 _READ = {"type", "enum", "const", "anyOf", "oneOf", "$ref", "properties", "required", "additionalProperties", "items"}
 
 
@@ -233,18 +233,33 @@ def _kind_of_values(values: tuple) -> str:
 def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract:
     """A contract from a JSON schema with ``$defs`` references and unions.
 
-    A keyword that is not enforced is an error, never left out in silence.
+    A keyword that is not enforced is an error, never left out in silence, as
+    is a schema that refers to itself; ``SchemaContract`` takes those.
     """
     defs = schema.get("$defs", {})
+    open_: list[str] = []
 
     def follow(s: dict) -> dict:
+        seen = []
         while "$ref" in s:
+            if set(s) - _NOTES - {"$ref"}:
+                raise ValueError(f"{sorted(set(s) - _NOTES - {'$ref'})} beside a reference is not supported")
+            if s["$ref"] in open_ or s["$ref"] in seen:
+                raise ValueError(f"{s['$ref']} refers to itself, which is not supported")
+            seen.append(s["$ref"])
             s = defs[s["$ref"].rsplit("/", 1)[-1]]
         return s
 
     def as_field(key: str, s: dict, required: bool) -> Field:
-        default = s.get("default")
-        s = follow(s)
+        solid = follow(s)
+        # What a field refers to is open while its parts are read.
+        open_.append(s.get("$ref", ""))
+        try:
+            return made_field(key, solid, s.get("default"), required)
+        finally:
+            open_.pop()
+
+    def made_field(key: str, s: dict, default: object, required: bool) -> Field:
         if isinstance(s.get("type"), list):
             s = {"anyOf": [{**{k: v for k, v in s.items() if k != "type"}, "type": t} for t in s["type"]]}
         choices = [follow(c) for c in s.get("anyOf") or s.get("oneOf") or []]
@@ -254,6 +269,8 @@ def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract
         nullable = any(c.get("type") == "null" for c in choices)
         solid = [c for c in choices if c.get("type") != "null"]
         common = {"default": _REQUIRED if required else default, "nullable": nullable}
+        if len(solid) > 1 and "oneOf" in s and "discriminator" not in s:
+            raise ValueError(f"{key}: exactly one of several is not supported")
         if len(solid) > 1:
             return Field(key, "union", options=tuple(as_field("", c, True) for c in solid), **common)
         s = solid[0] if solid else s
@@ -261,6 +278,10 @@ def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract
         kind_name = s.get("type") or _kind_of_values(enum)
         if kind_name not in _RULES:
             raise ValueError(f"{key}: type {kind_name} is not supported")
+        if enum and kind_name in ("array", "object"):
+            raise ValueError(f"{key}: enumerated values of type {kind_name} are not supported")
+        if isinstance(s.get("additionalProperties"), dict):
+            raise ValueError(f"{key}: typed additionalProperties is not supported")
         unknown = set(s) - _NOTES - _READ - set(_RULES[kind_name])
         if unknown or s.get("format", "date") not in FORMATS:
             raise ValueError(f"{key}: {sorted(unknown) or s['format']} is not supported for {kind_name}")
@@ -276,8 +297,8 @@ def contract_from_json_schema(schema: dict, name: str | None = None) -> Contract
 
     def as_contract(s: dict, title: str) -> Contract:
         unknown = set(s) - _NOTES - _READ
-        if unknown:
-            raise ValueError(f"{title}: {sorted(unknown)} is not supported")
+        if unknown or isinstance(s.get("additionalProperties"), dict):
+            raise ValueError(f"{title}: {sorted(unknown) or 'typed additionalProperties'} is not supported")
         required = s.get("required", [])
         fields = tuple(as_field(k, p, k in required) for k, p in s.get("properties", {}).items())
         return Contract(s.get("title", title), fields, s.get("additionalProperties") is False)

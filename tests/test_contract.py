@@ -185,6 +185,24 @@ def test_rules_that_are_not_enforced_are_errors():
             contract_from_json_schema({"properties": {"v": rule}})
 
 
+def test_forms_that_fields_cannot_hold_are_errors():
+    text = {"Text": {"type": "string"}}
+    part = {"Part": {"type": "object", "properties": {"parts": {"type": "array", "items": {"$ref": "#/$defs/Part"}}}}}
+    two = [{"type": "integer"}, {"type": "string"}]
+    for defs, rule in (
+        (text, {"$ref": "#/$defs/Text", "minLength": 2}),
+        ({}, {"type": "object", "additionalProperties": {"type": "integer"}}),
+        ({}, {"type": "array", "enum": [[1]]}),
+        ({}, {"oneOf": two}),
+        (part, {"$ref": "#/$defs/Part"}),
+        ({"A": {"$ref": "#/$defs/A"}}, {"$ref": "#/$defs/A"}),
+    ):
+        with pytest.raises(ValueError, match="not supported"):
+            contract_from_json_schema({"$defs": defs, "properties": {"v": rule}})
+    both = {"$defs": text, "properties": {"a": {"$ref": "#/$defs/Text"}, "b": {"$ref": "#/$defs/Text", "description": "again"}}}
+    assert [f.type for f in contract_from_json_schema(both).fields] == ["string", "string"]
+
+
 def test_array_bounds_keep_their_keywords():
     rule = {"type": "array", "items": {"type": "string"}, "minItems": 1, "maxItems": 3, "uniqueItems": True}
     made = contract_from_json_schema({"properties": {"v": rule}, "required": ["v"]}).json_schema()
