@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ from promptframe.scratch import Scratch
 WIDTH, PERCENT = 5, 80
 # Classes of a group, and shingles of them, that one side of a task's comparison takes; classes of a signature likewise.
 BLOCK, BLOCK_TOKENS, BUCKET = 512, 500_000, 2048
+# Signatures are joined in so many shares, one after the other.
+SHARES = 2
 # What it costs to tell by their sketches that two sets met by chance, in signatures.
 MEETING = 0.05
 # 64-bit words of the longest sketches.
@@ -296,13 +299,24 @@ def _by_tile(solved, keys: list[str], columns: list[str]):
 
 
 def candidates(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: a forest, for every signature, of the classes that share it and may link."""
+    """``a, b``: a forest, for every signature, of the classes that share it and may link.
+
+    Signatures are taken in ``SHARES`` hashed shares, one after the other, so
+    that only one share's shuffles are on disk at a time.
+    """
+    found = [_candidates_of(scratch, classes, percent, share) for share in range(SHARES)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _candidates_of(scratch: Scratch, classes: DataFrame, percent: int, share: int) -> DataFrame:
     each = classes.select("node", F.inline("parts")).select("node", "band", F.explode("signatures").alias("s"))
+    each = each.filter(F.pmod(F.xxhash64("s"), F.lit(SHARES)) == share)
     shared = each.groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
     # Stored, so that both sides of the join are plain shuffles and a common signature can be split.
     shared = scratch.store(shared, "shared")
     scratch.settle()
     members = scratch.store(each.join(shared, "s").select("s", "node", "band", "n"), "members")
+    scratch.drop("shared")
     scratch.settle()
     sketches = classes.select("node", "size", F.inline("parts")).select("node", "band", "size", "sketch")
     blocks = F.ceil(F.col("n") / BUCKET).cast("int")
@@ -319,7 +333,10 @@ def candidates(scratch: Scratch, classes: DataFrame, percent: int) -> DataFrame:
         return [(rows[x][0], rows[y][0]) for x, y in alike([r[2] for r in rows], [r[1] for r in rows], percent, left)]
 
     step = _by_tile(solved, ["s", "i", "j"], ["node", "size", "sketch", "left"])
-    return near.mapInArrow(step, "a long, b long").distinct()
+    links = scratch.store(near.mapInArrow(step, "a long, b long").distinct(), f"links{share}")
+    scratch.drop("members")
+    scratch.settle()
+    return links
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -432,7 +449,7 @@ def memberships(scratch: Scratch, docs: DataFrame, doc_id: str, text: str, width
     near = near.select("node", F.col("component").alias("grp"))
     # From here on classes are named only; signatures and sketches can go.
     slim = scratch.store(classes.select("node", "doc", "c1", "c2", "size"), "named")
-    scratch.drop("classes", "shared", "members")
+    scratch.drop("classes", *[f"links{share}" for share in range(SHARES)])
     scratch.settle()
     classes = slim
     grouped = scratch.store(near.join(classes.select("node", "size"), "node"), "grouped")
