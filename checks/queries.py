@@ -15,7 +15,7 @@ from promptframe.functions.text import (
 )
 from promptframe.operators import chain, evaluate, inference, ordering, render, reports, runlog, sharding, truth, validate
 from promptframe.operators.schema import SchemaContract
-from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT, contract_from_json_schema
+from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT, Contract, Field, contract_from_json_schema
 from promptframe.plans import job, recipes
 from promptframe.session import durable
 from promptframe.sources.documents import accepts_mail_name
@@ -592,6 +592,17 @@ def results(spark: SparkSession, folder: str) -> DataFrame:
     return reports.results_table(valid, reports.resolve_columns(valid, None))
 
 
+def result_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Answer members without a column: all but the label and the first undeclared key."""
+    valid = validate.valid_rows(_checked(spark, folder, None))
+    named = Contract("Named", (Field("classification", "string"),), forbid_extra=False)
+    return reports.result_cells(valid, reports.resolve_columns(valid, named, most=1))
+
+
+def confusion_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.confusion_cells(evaluate.evaluate(_predictions(spark, folder)))
+
+
 # Run log
 
 
@@ -678,7 +689,7 @@ QUERIES = {
         responses, usage, submissions, scored_requests,
         output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract, recursive_contract,
         truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary, summary_auc,
-        raw_predictions, roc, auc, result_columns, results,
+        raw_predictions, roc, auc, result_columns, results, result_cells, confusion_cells,
         stage_stats, histogram, counters, status_changes, state_age, progress,
         labelling_job,
     )

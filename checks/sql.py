@@ -296,6 +296,13 @@ ORACLES = {
       CASE doc_id % 12 WHEN 1 THEN score WHEN 3 THEN '1.5' WHEN 9 THEN 'true' ELSE {_TEXT_SCORE} END AS confidence,
       CASE WHEN doc_id % 12 <> 8 THEN 'r ' || doc_id END AS reason, CASE WHEN doc_id % 12 = 2 THEN 'x' END AS mood
       FROM corpus WHERE doc_id % 12 NOT IN (4, 5, 6)""",
+    "result_cells": f"""WITH {_CORPUS}
+      SELECT custom_id AS filename, 'reason' AS key, 'r ' || doc_id AS cell FROM corpus WHERE doc_id % 12 NOT IN (4, 5, 6, 8)
+      UNION ALL SELECT custom_id, 'mood', 'x' FROM corpus WHERE doc_id % 12 = 2""",
+    "confusion_cells": f"""{_EVAL}, names AS (SELECT ground_truth AS label FROM predicted UNION SELECT predicted FROM predicted),
+      places AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS place FROM names)
+      SELECT g.place AS row, p.place AS "column", ground_truth, predicted, count(*) AS n
+      FROM predicted r JOIN places g ON r.ground_truth = g.label JOIN places p ON r.predicted = p.label GROUP BY ALL""",
     "stage_stats": """SELECT event_type AS stage, count(value) AS count, round(sum(value), 3) AS total_ms,
       min(value) AS min_ms, max(value) AS max_ms, round(avg(value), 6) AS mean_ms FROM events GROUP BY 1""",
     "histogram": """SELECT event_type, CAST(b AS DOUBLE) AS le, CAST(count_if(value <= b) AS BIGINT) AS n

@@ -16,6 +16,11 @@ from promptframe.operators.ordering import with_seq
 from promptframe.session import durable
 from promptframe.sources.storage import write_text
 
+# Keys of answers that get a column of their own without being declared.
+MAX_COLUMNS = 200
+# Labels up to which an evaluation without named labels has its matrix in the JSON file.
+MAX_LABELS = 1000
+
 # Contract fields that the prediction columns already cover.
 COVERED_FIELDS = ["label", "classification", "confidence", "certainty"]
 
@@ -33,17 +38,21 @@ def extra_columns(valid: DataFrame, known: Sequence[str], seq: str) -> DataFrame
     return first.select("key", "first.seq", "first.pos")
 
 
-def resolve_columns(valid: DataFrame, contract: Contract | None = None, order: Sequence[str] = ("custom_id",)) -> list[str]:
+def resolve_columns(
+    valid: DataFrame, contract: Contract | None = None, order: Sequence[str] = ("custom_id",), most: int = MAX_COLUMNS
+) -> list[str]:
     """Column names: filename, contract fields, then other keys by first appearance.
 
-    Where the contract forbids other keys there are none to look for.
+    Where the contract forbids other keys there are none to look for. Of other
+    keys the ``most`` that appear first get a column, which is all that comes to
+    the driver; ``result_cells`` holds the rest.
     """
     known = list(dict.fromkeys(["filename", *(contract.names if contract else [])]))
     if contract and contract.forbid_extra:
         return known
     # Numbering reads its input several times, so the checks behind it are cut off.
     numbered = with_seq(durable(valid.select(*order, "raw_text")), list(order), "_seq")
-    found = extra_columns(numbered, known, "_seq").orderBy("seq", "pos").collect()
+    found = extra_columns(numbered, known, "_seq").orderBy("seq", "pos", "key").limit(most).collect()
     return known + [r.key for r in found]
 
 
@@ -53,6 +62,18 @@ def results_table(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
     return valid.select(clean_xml("custom_id").alias("filename"), *cells)
 
 
+def result_cells(valid: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``filename, key, cell``: a row for each member of an answer that has no column in ``columns``.
+
+    With ``results_table`` of the same columns it holds all members, however
+    many different keys there are.
+    """
+    members = F.explode(F.map_entries(F.try_variant_get("data", "$", "map<string,variant>"))).alias("m")
+    each = valid.select(clean_xml("custom_id").alias("filename"), members)
+    rest = each.where(~F.col("m.key").isin([*columns])) if columns else each
+    return rest.select("filename", F.col("m.key").alias("key"), cell(F.col("m.value")).alias("cell"))
+
+
 def prediction_table(rows: DataFrame, contract: Contract | None = None) -> DataFrame:
     """Prediction columns, ``correct``, and the remaining contract fields."""
     extra = [n for n in (contract.names if contract else []) if n not in COVERED_FIELDS]
@@ -74,13 +95,36 @@ def confusion_wide(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     return dense_confusion(counts, labels).groupBy(truth).agg(*cells)
 
 
+def confusion_cells(result: Evaluation) -> DataFrame:
+    """``row, column, ground_truth, predicted, n`` of the pairs that occur; places are those of the labels in order.
+
+    The matrix of any number of labels: labels are numbered by ranges, and
+    both numbers come to the pairs by joins.
+    """
+    places = durable(with_seq(result.labels, ["label"], "place"))
+    of_truth = places.select(F.col("label").alias("ground_truth"), F.col("place").alias("row"))
+    of_predicted = places.select(F.col("label").alias("predicted"), F.col("place").alias("column"))
+    placed = result.counts.join(of_truth, "ground_truth").join(of_predicted, "predicted")
+    return placed.select("row", "column", "ground_truth", "predicted", "n")
+
+
+def write_confusion_cells(result: Evaluation, folder: str) -> None:
+    """The cells as CSV files in the order of rows and columns, written by the executors."""
+    write_table(confusion_cells(result).orderBy("row", "column"), folder)
+
+
 def evaluation_dict(result: Evaluation, labels: Sequence[str] | None = None) -> dict:
     """The evaluation as plain data, ratios to four digits.
 
-    Lists the given labels, else all of them; the matrix has a row and a column
-    for each, so name them where there are very many.
+    Lists the given labels, else all of them up to ``MAX_LABELS``. Beyond that
+    it has neither classes nor a matrix: those are in the tables of
+    ``per_class`` and ``confusion_cells``, which no driver has to hold.
     """
-    labels = list(labels) if labels is not None else [r.label for r in result.labels.collect()]
+    if labels is None:
+        labels = [r.label for r in result.labels.limit(MAX_LABELS + 1).collect()]
+        if len(labels) > MAX_LABELS:
+            labels = []
+    labels = list(labels)
     values = {r.metric: r.value for r in result.summary.collect()}
     listed = F.broadcast(result.counts.sparkSession.createDataFrame([(x,) for x in labels], "label string"))
     among = result.counts.join(listed, F.col("ground_truth") == F.col("label"), "left_semi")

@@ -5,15 +5,15 @@ starts depends on every line before it. The exact plan keeps this rule without
 running over all lines in one task. Each range of lines is summarised: for
 each of its first ``max_requests`` lines, which shard would be open at the end
 of the range if a shard began at that line. Only those lines can be the first
-start in a range. Summaries join in two levels, ranges to blocks and blocks to
-the whole, which tells every range the shard that is open when it begins. Then
-all ranges place their starts side by side. No task sees more than one range
-or about ``sqrt(ranges)`` summaries, whatever the number of lines.
+start in a range. Summaries join in a tree of fixed fan-in, level by level up to
+the whole, and the way down tells every unit, at last every range, the shard that
+is open when it begins. Then all ranges place their starts side by side. No task
+sees more than one range, or ``FAN_IN`` summaries of at most ``max_requests`` lines
+each, whatever the number of lines.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,8 +40,12 @@ ROWS_PER_RANGE = 200_000
 MAX_REQUESTS = 50_000
 MAX_BYTES = 190 * 1024 * 1024
 
-_HEAD = f"block int, {RANGE} int, pos long, end long, open_pos long, open_bytes long"
-_ENTRY = "open_pos long, open_bytes long"
+# Summaries that are joined to one of the next level.
+FAN_IN = 16
+
+# A unit is a range, or so many units of the level before.
+_HEAD = "unit int, pos long, end long, open_pos long, open_bytes long"
+_ENTRY = "unit int, open_pos long, open_bytes long"
 
 
 def _next_starts(end: np.ndarray, size: np.ndarray, max_requests: int, max_bytes: int) -> np.ndarray:
@@ -51,7 +55,7 @@ def _next_starts(end: np.ndarray, size: np.ndarray, max_requests: int, max_bytes
     return np.minimum(np.maximum(by_bytes, here + 1), np.minimum(here + max_requests, len(end)))
 
 
-def _summarise(max_requests: int, max_bytes: int, width: int):
+def _summarise(max_requests: int, max_bytes: int):
     """Per range: its first lines with the shard open at its end if one starts there."""
 
     def run(lines: pd.DataFrame) -> pd.DataFrame:
@@ -65,8 +69,7 @@ def _summarise(max_requests: int, max_bytes: int, width: int):
         pos, range_id = lines["pos"].to_numpy(), int(lines[RANGE].iloc[0])
         return pd.DataFrame(
             {
-                "block": range_id // width,
-                RANGE: range_id,
+                "unit": range_id,
                 "pos": pos[head],
                 "end": end[head],
                 "open_pos": pos[last[head]],
@@ -90,15 +93,15 @@ def _advance(head: pd.DataFrame, open_pos, open_bytes, max_requests: int, max_by
     )
 
 
-def _children(heads: pd.DataFrame, level: str) -> Iterator[tuple[int, pd.DataFrame]]:
-    return ((int(k), g) for k, g in heads.sort_values("pos").groupby(level, sort=True))
+def _children(heads: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame]]:
+    return ((int(k), g) for k, g in heads.sort_values("pos").groupby("unit", sort=True))
 
 
-def _merge_block(max_requests: int, max_bytes: int):
-    """Summaries of neighbouring ranges to the summary of their block."""
+def _merge(max_requests: int, max_bytes: int):
+    """Summaries of neighbouring units to the summary of their parent."""
 
     def run(heads: pd.DataFrame) -> pd.DataFrame:
-        parts = [g for _, g in _children(heads, RANGE)]
+        parts = [g for _, g in _children(heads)]
         merged, taken = [], 0
         for i, part in enumerate(parts):
             if taken >= max_requests:
@@ -109,13 +112,14 @@ def _merge_block(max_requests: int, max_bytes: int):
             for later in parts[i + 1 :]:
                 open_pos, open_bytes = _advance(later, open_pos, open_bytes, max_requests, max_bytes)
             part["open_pos"], part["open_bytes"] = open_pos, open_bytes
-            merged.append(part)
+            part["unit"] = part["parent"]
+            merged.append(part.drop(columns="parent"))
         return pd.concat(merged)
 
     return run
 
 
-def _walk(max_requests: int, max_bytes: int, level: str):
+def _walk(max_requests: int, max_bytes: int):
     """The shard open at the begin of each child, in order.
 
     The open shard at the begin of the whole stretch is in the columns
@@ -126,14 +130,14 @@ def _walk(max_requests: int, max_bytes: int, level: str):
         entry = heads[["in_pos", "in_bytes"]].iloc[0]
         state = None if pd.isna(entry["in_pos"]) else (int(entry["in_pos"]), int(entry["in_bytes"]))
         found = []
-        for child, head in _children(heads, level):
+        for child, head in _children(heads):
             found.append((child, *(state or (None, None))))
             if state is None:
                 state = (head["open_pos"].iloc[0], head["open_bytes"].iloc[0])
             else:
                 state = tuple(x[0] for x in _advance(head, np.array([state[0]]), np.array([state[1]]), max_requests, max_bytes))
-        frame = pd.DataFrame(found, columns=[level, "open_pos", "open_bytes"])
-        return frame.astype({level: "int32", "open_pos": "Int64", "open_bytes": "Int64"})
+        frame = pd.DataFrame(found, columns=["unit", "open_pos", "open_bytes"])
+        return frame.astype({"unit": "int32", "open_pos": "Int64", "open_bytes": "Int64"})
 
     return run
 
@@ -165,19 +169,25 @@ def shard_starts(lines: DataFrame, ranges: int, max_requests: int, max_bytes: in
     and the running total ``end`` up to and including it.
     """
     bounds = (max_requests, max_bytes)
-    width = max(1, math.isqrt(ranges))
     narrow = lines.select(F.col(RANGE).cast("int").alias(RANGE), "pos", "size", "end")
-    heads = durable(narrow.groupBy(RANGE).applyInPandas(_summarise(*bounds, width), _HEAD))
-    blocks = heads.groupBy("block").applyInPandas(_merge_block(*bounds), _HEAD)
-    # About sqrt(ranges) block summaries, each of at most max_requests lines.
+    parent = F.floor(F.col("unit") / FAN_IN).cast("int").alias("parent")
+    # Up: a level has a FAN_IN-th of the units before it; a group is FAN_IN summaries of at most max_requests lines.
+    levels = [durable(narrow.groupBy(RANGE).applyInPandas(_summarise(*bounds), _HEAD))]
+    units = ranges
+    while units > FAN_IN:
+        levels.append(durable(levels[-1].select("*", parent).groupBy("parent").applyInPandas(_merge(*bounds), _HEAD)))
+        units = -(-units // FAN_IN)
+    # Down: the shard open at the begin of each unit, from that of its parent.
     none = F.lit(None).cast("long")
-    unopened = blocks.withColumns({"in_pos": none, "in_bytes": none, "stretch": F.lit(0)})
-    block_entry = unopened.groupBy("stretch").applyInPandas(_walk(*bounds, "block"), f"block int, {_ENTRY}")
-    block_entry = block_entry.select("block", F.col("open_pos").alias("in_pos"), F.col("open_bytes").alias("in_bytes"))
-    opened = heads.join(F.broadcast(block_entry), "block")
-    entry = opened.groupBy("block").applyInPandas(_walk(*bounds, RANGE), f"{RANGE} int, {_ENTRY}")
+    heads = levels.pop().select("*", parent, none.alias("in_pos"), none.alias("in_bytes"))
+    while True:
+        entry = heads.groupBy("parent").applyInPandas(_walk(*bounds), _ENTRY)
+        if not levels:
+            break
+        opened = entry.select(F.col("unit").alias("parent"), F.col("open_pos").alias("in_pos"), F.col("open_bytes").alias("in_bytes"))
+        heads = levels.pop().select("*", parent).join(opened, "parent")
     # One row per range.
-    placed = narrow.join(F.broadcast(entry), RANGE)
+    placed = narrow.join(F.broadcast(entry.withColumnRenamed("unit", RANGE)), RANGE)
     return placed.groupBy(RANGE).applyInPandas(_place(*bounds), f"{RANGE} int, pos long")
 
 

@@ -132,8 +132,9 @@ def write_shard_files(requests: DataFrame, folder: str, max_requests: int, max_b
 
 def export_job(result: JobResult, folder: str, contract: Contract | None = None) -> None:
     """The report tables of a job, as CSV folders, and the evaluation as JSON."""
-    results = reports.results_table(result.valid, reports.resolve_columns(result.valid, contract))
-    tables = {"results": results, "dropped": result.dropped}
+    columns = reports.resolve_columns(result.valid, contract)
+    tables = {"results": reports.results_table(result.valid, columns), "dropped": result.dropped}
+    tables["result_cells"] = reports.result_cells(result.valid, columns)
     found = result.evaluation
     if found:
         tables |= {"predictions": reports.prediction_table(found.predictions, contract), "per_class": found.per_class}
@@ -141,6 +142,7 @@ def export_job(result: JobResult, folder: str, contract: Contract | None = None)
         if found.roc is not None:
             tables["roc"] = found.roc
         reports.write_evaluation_json(found, f"{folder}/evaluation.json")
+        reports.write_confusion_cells(found, f"{folder}/confusion_cells")
     for name, table in tables.items():
         reports.write_table(table, f"{folder}/{name}")
 

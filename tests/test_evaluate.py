@@ -152,6 +152,38 @@ def test_result_columns_and_cells(spark):
     assert reports.resolve_columns(valid, SPAM_CONTRACT) == ["filename", *SPAM_CONTRACT.names]
 
 
+def test_columns_are_bounded_and_cells_hold_the_rest(spark):
+    valid = answers(spark)
+    columns = reports.resolve_columns(valid, most=2)
+    assert columns == ["filename", "z", "classification"]
+    cells = sorted(map(tuple, reports.result_cells(valid, columns).collect()))
+    assert cells == [("f0", "list", '["é",1]'), ("f1", "b", "true")]
+    many = spark.range(500).select(F.col("id").cast("string").alias("custom_id"), F.format_string('{"k%d":%d}', "id", "id").alias("raw_text"))
+    many = many.withColumn("data", parse_whole("raw_text"))
+    columns = reports.resolve_columns(many)
+    assert len(columns) == 1 + reports.MAX_COLUMNS
+    wide, long = reports.results_table(many, columns), reports.result_cells(many, columns)
+    filled = sum(v is not None for r in wide.collect() for v in r[1:])
+    assert filled == reports.MAX_COLUMNS and long.count() == 500 - filled
+
+
+def test_confusion_of_very_many_labels(spark, tmp_path):
+    n = 5000
+    label = lambda c: F.concat(F.lit("l"), F.lpad(c.cast("string"), 6, "0"))
+    truth_of = spark.range(3 * n).select(label(F.col("id") % n).alias("ground_truth"), label((F.col("id") * 7) % n).alias("predicted"))
+    rows = truth_of.withColumns({"custom_id": F.lit("x"), "confidence": F.lit(0.5)})
+    result = E.evaluate(rows)
+    saved = reports.evaluation_dict(result)
+    assert saved["total_predictions"] == 3 * n and saved["confusion_matrix"]["labels"] == [] and saved["per_class"] == []
+    two = reports.evaluation_dict(result, ["l000000", "l000007"])
+    assert two["confusion_matrix"]["matrix"] == [[3, 0], [0, 0]] and len(two["per_class"]) == 2
+    reports.write_confusion_cells(result, str(tmp_path / "cells"))
+    cells = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / "cells"))
+    assert cells.agg(F.sum("n")).head()[0] == 3 * n
+    wrong = cells.where((label(F.col("row")) != F.col("ground_truth")) | (label(F.col("column")) != F.col("predicted")))
+    assert wrong.count() == 0
+
+
 def test_prediction_table_and_files(spark, tmp_path):
     frame = answers(spark).withColumns({"ground_truth": F.lit("spam"), "predicted": F.lit("spam"), "confidence": F.lit(0.5)})
     table = reports.prediction_table(frame, SPAM_CONTRACT)

@@ -70,6 +70,16 @@ def test_packing_equals_the_sequential_rule(spark, lines, max_requests, max_byte
     assert [r.shard for r in packed.orderBy("id").collect()] == greedy(sizes, max_requests, max_bytes)
 
 
+@pytest.mark.parametrize("fan_in", [2, 3, 16])
+def test_packing_by_a_tree_of_any_fan_in(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(sharding, "FAN_IN", fan_in)
+    rnd = random.Random(fan_in)
+    sizes = [rnd.choice([1, 2, 9, 30, 70]) for _ in range(400)]
+    frame = spark.createDataFrame(list(enumerate(sizes)), "id int, size int")
+    packed = sharding.pack(frame, ["id"], F.col("size"), 6, 64, 23)
+    assert [r.shard for r in packed.orderBy("id").collect()] == greedy(sizes, 6, 64)
+
+
 def test_shard_files(spark, tmp_path):
     frame = spark.createDataFrame([(f"d{i}", "x" * i) for i in range(10)], "id string, line string")
     size = F.octet_length("line") + 1
