@@ -97,7 +97,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, texts_a: np.ndarray, tex
         parted, cut_a, cut_b = work[:, ~leaf], found_a[~leaf] + 1, found_b[~leaf] + 1
         left = np.stack([parted[0], cut_a, parted[2], cut_b])
         right = np.stack([cut_a, parted[1], cut_b, parted[3]])
-        work = np.concatenate([left, right], axis=1)
+        # Halves stay side by side, so bisects run over the ends in order.
+        work = np.stack([left, right], axis=2).reshape(4, -1)
     return np.sort(np.concatenate(last_a)), np.sort(np.concatenate(last_b))
 
 
