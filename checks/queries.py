@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +19,11 @@ from promptframe.operators import chain, evaluate, inference, ordering, render,
 from promptframe.operators.schema import SchemaContract
 from promptframe.operators.contract import PII_CONTRACT, SPAM_CONTRACT, Contract, Field, contract_from_json_schema
 from promptframe.plans import job, recipes
-from promptframe.session import durable
+from promptframe.session import durable, ensure_checkpoint_dir
 from promptframe.sources.documents import accepts_mail_name
 from promptframe.sources.emails import parse_emails
 from promptframe.sources.lines import parse_requests
-from promptframe.sources.truth import last_label_wins, prefix_map
+from promptframe.sources.truth import last_label_wins, prefix_map, read_truth_csv
 
 MODEL, PROMPT = "small-1", "Classify the message."
 
@@ -501,6 +503,18 @@ def truth_labels(spark: SparkSession, folder: str) -> DataFrame:
     return _truth(spark, folder)
 
 
+def truth_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """Ground truth from CSV files whose quoted names hold line feeds, commas and quotes."""
+    doc = F.col("doc_id").cast("string")
+    name = C.by_rest(
+        3, {0: F.concat(F.lit('"'), doc, F.lit('\nsecond ""line"""')), 1: F.concat(F.lit('"a, '), doc, F.lit('"')), 2: F.concat(F.lit('inch 5" '), doc)}
+    )
+    label = F.when(F.col("doc_id") % 2 == 0, F.lit("Spam")).otherwise(F.lit('"ham\n"'))
+    target = f"{ensure_checkpoint_dir(spark)}/truth-{uuid.uuid4().hex}"
+    C.table(spark, folder, "documents").select(F.concat(name, F.lit(","), label)).write.text(target)
+    return read_truth_csv(spark, target, header=False)
+
+
 def truth_prefix(spark: SparkSession, folder: str) -> DataFrame:
     docs = C.corpus(spark, folder).select("custom_id")
     return truth.join_prefix(docs, prefix_map(spark, C.PREFIXES))
@@ -688,7 +702,7 @@ QUERIES = {
         ordinals, shards_by_count, shards_by_bytes, review,
         responses, usage, submissions, scored_requests,
         output_texts, statuses, validation_counts, free_form, nested_contract, wide_contract, recursive_contract,
-        truth_labels, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary, summary_auc,
+        truth_labels, truth_quoted, truth_prefix, predictions, labels, confusion, confusion_wide, per_class, summary, summary_auc,
         raw_predictions, roc, auc, result_columns, results, result_cells, confusion_cells,
         stage_stats, histogram, counters, status_changes, state_age, progress,
         labelling_job,

@@ -260,6 +260,8 @@ ORACLES = {
       SELECT custom_id, CASE WHEN wrong IS NULL THEN 'valid' ELSE 'invalid' END AS status,
         'Schema validation error: ' || wrong AS message FROM told""",
     "truth_labels": f"WITH {_TRUTH} SELECT filename, label FROM truth",
+    "truth_quoted": """SELECT CASE doc_id % 3 WHEN 0 THEN doc_id || chr(10) || 'second "line"' WHEN 1 THEN 'a, ' || doc_id
+        ELSE 'inch 5" ' || doc_id END AS filename, CASE WHEN doc_id % 2 = 0 THEN 'spam' ELSE 'ham' END AS label FROM documents""",
     "truth_prefix": f"WITH {_CORPUS} SELECT custom_id, {_PREFIX} AS by_prefix FROM corpus",
     "predictions": f"{_EVAL} SELECT custom_id, ground_truth, predicted, confidence FROM predicted",
     "labels": f"{_EVAL} SELECT ground_truth AS label FROM predicted UNION SELECT predicted FROM predicted",

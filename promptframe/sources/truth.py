@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptframe.functions.text import strip
+from promptframe.sources.quoted import joined_records
 
 _CELLS = "filename string, label string, _bad string"
 
@@ -31,23 +32,22 @@ def read_truth_csv(spark: SparkSession, path: str, header: bool | None = None) -
     """``filename, label`` of a CSV, one row per file name.
 
     ``header=None`` takes a first row of two purely alphabetic cells for a
-    header. The file is read in splits; only where a line has an odd number of
-    quotes, so that a quoted cell may span lines, is it read unsplit.
+    header. The file is read in splits, also where quoted cells hold line feeds.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    spans = bool(spark.read.text(path).where(quotes % 2 == 1).take(1))
-    cells = (
-        spark.read.schema(_CELLS)
-        .option("header", False)
-        .option("multiLine", spans)
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", "_bad")
-        .csv(path)
-    )
+    lines = spark.read.text(path)
+    spans = bool(lines.where(quotes % 2 == 1).take(1))
     order = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
     )
-    cells = cells.withColumn("_order", order)
+    options = {"escape": '"', "columnNameOfCorruptRecord": "_bad"}
+    if spans:
+        records = joined_records(lines.select("value", F.col("_metadata.file_path").alias("file"), order.alias("o")), F.col("o"))
+        # Blank lines are no records.
+        records = records.where(F.length(strip("value")) > 0)
+        cells = records.select(F.from_csv("value", _CELLS, options).alias("c"), "_order").select("c.*", "_order")
+    else:
+        cells = spark.read.schema(_CELLS).option("header", False).options(**options).csv(path).withColumn("_order", order)
     # A row without a second cell is corrupt and has no label; an empty label is not corrupt.
     missing = F.col("label").isNull() & F.col("_bad").isNotNull()
     if header is None:
