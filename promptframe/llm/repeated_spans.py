@@ -79,6 +79,20 @@ class Rolling:
         return _mixed((sums[end] - sums[start]) * self.down[start])
 
 
+def leftmost_least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least of each ``width`` hashes side by side, by their upper 48 bits, the leftmost on ties.
+
+    Least values of one, two, four ... hashes, each from two of the step before; places are in the lower bits.
+    """
+    least = (hashes & np.uint64(0xFFFF_FFFF_FFFF_0000)) | np.arange(len(hashes), dtype=np.uint64)
+    known = 1
+    while known < width:
+        step = min(known, width - known)
+        least = np.minimum(least[:-step], least[step:])
+        known += step
+    return (least & np.uint64(0xFFFF)).astype(np.int64)
+
+
 class Windows:
     """Runs of windows with a common anchor."""
 
@@ -92,8 +106,7 @@ class Windows:
         for at in range(0, len(data) - length + 1, STEP):
             part = np.frombuffer(data, np.uint8)[at : at + STEP + length - 1]
             hashes = self.rolling.hashes(part, k)
-            least = np.lib.stride_tricks.sliding_window_view(hashes, length - k + 1).argmin(axis=1)
-            place = least + np.arange(len(least))
+            place = leftmost_least(hashes, length - k + 1)
             first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             last = np.concatenate([first[1:], [len(place)]]) - 1
             form = ((place[first] - first) * (2 * length) + last - first).astype(np.uint64)

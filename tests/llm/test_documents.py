@@ -418,3 +418,11 @@ def test_held_out(spark):
     rows = spark.createDataFrame([(1,), (None,), (12345,)], "i long")
     want = [zlib.crc32(b"1") % 5 == 0, True, zlib.crc32(b"12345") % 5 == 0]
     assert [r[0] for r in rows.select(held_out(F.col("i"))).collect()] == want
+
+
+def test_leftmost_least_of_windows():
+    rnd = np.random.default_rng(2)
+    hashes = rnd.integers(0, 40, 500).astype(np.uint64) << np.uint64(20)
+    for width in (1, 2, 3, 101, 137, 500):
+        want = [i + int(np.argmin(hashes[i : i + width])) for i in range(len(hashes) - width + 1)]
+        assert repeated_spans.leftmost_least(hashes, width).tolist() == want
